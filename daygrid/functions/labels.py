@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,14 +11,15 @@ from pyspark.sql import functions as F
 ROOM_PLACEHOLDER = "$CourtRoom}$"
 OFFICER_PLACEHOLDER = "${JudicialOfficer}$"
 CODE_PREFIX = r"\([A-Z]{3}\) "
+CLOCK = "^([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"
 
 
 def time_label(start_time: Column) -> Column:
     """``13:30`` -> ``1:30 `` (12-hour, no AM/PM, trailing blank); null when not a time."""
-    clock = F.try_to_timestamp(
-        F.concat(F.lit("2025-01-01 "), start_time), F.lit("yyyy-MM-dd H:mm[:ss]")
-    )
-    return F.date_format(clock, "h:mm ")
+    hour = F.substring_index(start_time, ":", 1).try_cast("int")
+    minute = F.substring(start_time, F.instr(start_time, ":") + 1, F.lit(2))
+    label = F.concat(((hour + 11) % 12 + 1).cast("string"), F.lit(":"), minute, F.lit(" "))
+    return F.when(start_time.rlike(CLOCK), label)
 
 
 def strip_code_prefix(description: Column) -> Column:
@@ -58,9 +61,10 @@ def fill_template(
 def rule_pattern(pattern_name: str | None) -> str:
     """LIKE pattern of a rule name: no hyphens, blanks match anything, open at both ends.
 
-    A null name gives ``%%``, which every non-null description matches.
+    A null name gives ``%``, which every non-null description matches. Repeated
+    wildcards are one, so that a single word stays a plain substring search.
     """
-    return "%" + (pattern_name or "").replace("-", "").replace(" ", "%") + "%"
+    return re.sub("%+", "%", "%" + (pattern_name or "").replace("-", "").replace(" ", "%") + "%")
 
 
 def matches_rule(description: Column, pattern_name: str | None) -> Column:

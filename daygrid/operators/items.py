@@ -33,21 +33,21 @@ def with_officers(sessions: DataFrame, officers: DataFrame) -> DataFrame:
 
 def _matches(description: Column, rules: Sequence[Rule]) -> Column:
     """The rules that match a description, as an array of (template, rule_order)."""
-    if not rules:
-        return F.array().cast("array<struct<template:string,rule_order:int>>")
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    matches_rule(description, rule.pattern_name),
+    none = F.array().cast("array<struct<template:string,rule_order:int>>")
+    return F.concat(
+        none,
+        *[
+            F.when(
+                matches_rule(description, rule.pattern_name),
+                F.array(
                     F.struct(
                         F.lit(rule.template).cast("string").alias("template"),
                         F.lit(rule.display_order).cast("int").alias("rule_order"),
-                    ),
-                )
-                for rule in rules
-            ]
-        )
+                    )
+                ),
+            ).otherwise(none)
+            for rule in rules
+        ],
     )
 
 

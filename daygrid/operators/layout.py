@@ -16,6 +16,8 @@ from daygrid.plans.staging import stage
 DAY_KEYS = ("calendar_id", "session_date")
 BLOCK_KEYS = ("calendar_id", "year", "month", "week")
 ROW_KEYS = (*BLOCK_KEYS, "pos")
+# Fields of a cell, and the suffix of their columns in a grid row.
+CELL_PARTS = (("text", ""), ("argb", "_argb"), ("role", "_role"), ("span", "_span"))
 TIMED_ORDER = ("display_order", "start_time", "description", "color", "officer_code")
 
 
@@ -173,40 +175,29 @@ def wide_rows(cells: DataFrame) -> DataFrame:
         F.when(shown, F.coalesce("span_days", F.lit(1))).alias("span"),
     )
     by_day = F.map_from_entries(F.collect_list(F.struct("dow", cell)))
-    return (
-        cells.groupBy(*BLOCK_KEYS, F.col("new_pos").alias("pos"))
-        .agg(by_day.alias("_days"))
-        .select(
-            *ROW_KEYS,
-            F.lit("items").alias("kind"),
-            *[
-                F.try_element_at("_days", F.lit(number))[part].alias(column)
-                for number, name in enumerate(WORKDAYS, start=1)
-                for part, column in (
-                    ("text", name),
-                    ("argb", f"{name}_argb"),
-                    ("role", f"{name}_role"),
-                    ("span", f"{name}_span"),
-                )
-            ],
-        )
+    rows = cells.groupBy(*BLOCK_KEYS, F.col("new_pos").alias("pos")).agg(by_day.alias("days"))
+    return rows.selectExpr(
+        *ROW_KEYS,
+        "'items' AS kind",
+        *[
+            f"try_element_at(days, {number}).{part} AS {name}{suffix}"
+            for number, name in enumerate(WORKDAYS, start=1)
+            for part, suffix in CELL_PARTS
+        ],
     )
 
 
 def day_rows(day_grid: DataFrame) -> DataFrame:
     """The day-number row that heads each week, in the columns of `wide_rows`."""
-    return day_grid.select(
+    return day_grid.selectExpr(
         *BLOCK_KEYS,
-        F.lit(0).alias("pos"),
-        F.lit("days").alias("kind"),
+        "0 AS pos",
+        "'days' AS kind",
         *[
-            column
+            f"{value} AS {name}{suffix}"
             for name in WORKDAYS
-            for column in (
-                F.col(name),
-                F.lit(None).cast("string").alias(f"{name}_argb"),
-                F.lit(None).cast("string").alias(f"{name}_role"),
-                F.lit(1).alias(f"{name}_span"),
+            for value, (_, suffix) in zip(
+                (name, "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", "1"), CELL_PARTS
             )
         ],
     )

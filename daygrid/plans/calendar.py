@@ -176,7 +176,7 @@ class Calendar:
         marked = layout.decode(layout.mark_spans(self.banner_cells))
         if self.spread:
             marked = stage(marked, "cells")
-        banners = layout.compact(marked, self.spread)
+        banners = stage(layout.compact(marked, self.spread), "banners")
         # The last banner of a day, merged or moved, is where its timed items begin.
         keys = [*layout.DAY_KEYS]
         floors = banners.groupBy(*keys).agg(F.max("new_pos").alias("_floor"))
@@ -197,7 +197,7 @@ class Calendar:
     def final_grid(self) -> DataFrame:
         """Day-number rows and item rows of every month, numbered from its top."""
         body = layout.wide_rows(self.compacted_cells)
-        heads = layout.day_rows(months.month_day_grid(self.years))
+        heads = layout.day_rows(months.month_day_grid(months.calendar_years(self.items)))
         return layout.number_rows(heads.unionByName(body), self.spread)
 
 

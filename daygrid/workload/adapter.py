@@ -11,6 +11,7 @@ from daygrid.functions.text import Abbreviation
 from daygrid.plans.calendar import Calendar
 from daygrid.sources import dimensions
 from daygrid.sources.dimensions import Rule
+from daygrid.sources.files import read_table
 
 # A hyphen, a blank, overlapping rules with equal texts, a template cut before its
 # last placeholder character, a rule without order and one without template.
@@ -84,22 +85,26 @@ SPECIAL_ROWS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", key)
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("user_id")
     room = user % 7
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", "event_id").select(
         F.concat(F.lit("C"), user % 4).alias("calendar_id"),
         F.to_date("ts").alias("session_date"),
-        F.date_format("ts", "HH:mm").alias("start_time"),
+        F.concat_ws(
+            ":",
+            F.lpad(F.hour("ts").cast("string"), 2, "0"),
+            F.lpad(F.minute("ts").cast("string"), 2, "0"),
+        ).alias("start_time"),
         F.concat(
             F.when(F.col("event_id") % 2 == 0, "(ABC) ").otherwise("(ABC-X) "),
             F.col("event_type"),
             F.lit(" - "),
-            F.get_json_object("props", "$.k"),
+            F.regexp_extract("props", "[0-9]+", 0),
         ).alias("description"),
         F.when(room != 6, room.cast("string")).alias("room_code"),
         F.concat(F.lit("N"), F.lpad((user % 30).cast("string"), 2, "0")).alias("officer_code"),
@@ -127,15 +132,16 @@ def presiding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def officers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    others = _nations(spark, sf_dir).where(F.col("seq") >= PRESIDING_NATIONS)
-    return dimensions.all_officers(presiding(spark, sf_dir), others)
+    nations = _nations(spark, sf_dir)
+    first = F.col("seq") < PRESIDING_NATIONS
+    return dimensions.all_officers(nations.where(first), nations.where(~first))
 
 
 def order_specials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Special dates of several years: single dates and ranges from the orders."""
     day = F.to_date("o_orderdate")
     single = F.col("o_orderkey") % 10 == 0
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", "o_orderkey").select(
         F.concat(F.lit("C"), F.col("o_custkey") % 4).alias("calendar_id"),
         F.concat(F.lit("PRIORITY "), F.substring("o_orderpriority", 3, 20)).alias("name"),
         F.when(single, day).alias("date"),

@@ -86,7 +86,7 @@ def slotted_all(spark, sf_dir):
 @query
 def week_of_year_orders(spark, sf_dir):
     day = F.to_date("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", "o_orderkey").select(
         "o_orderkey",
         day.alias("order_date"),
         sunday_week(day).alias("week"),
@@ -103,7 +103,7 @@ def abbreviate_text(spark, sf_dir):
 
 @query
 def abbreviate_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", abbreviate(F.col("text"), adapter.DOCUMENT_ABBREVIATIONS).alias("text")
     )
 
