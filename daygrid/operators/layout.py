@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daygrid.functions.dates import is_workday, iso_weekday
+from daygrid.functions.dates import is_workday, iso_weekday, month_week
 from daygrid.functions.text import cell_role, is_blank, starts_with_digit, tag_argb, untag
 from daygrid.operators.months import PAD, WORKDAYS
 from daygrid.operators.ranking import BLOCK_ROWS, dense_numbers, row_numbers, running
@@ -53,9 +53,15 @@ def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame, spread
 
 
 def on_calendar(workdays: DataFrame, positioned: DataFrame) -> DataFrame:
-    """Every workday with its positioned rows; days without any keep one row of nulls."""
-    rows = positioned.drop("year", "week")
-    return workdays.join(rows, [*DAY_KEYS], "left")
+    """Every workday with its positioned rows; days without any keep one row of nulls.
+
+    Positioned rows get their place in the month by date arithmetic, so that they
+    need no join. Only the empty days are looked up, among distinct days.
+    """
+    day = F.col("session_date")
+    filled = on_workdays(positioned).withColumn("week_block", month_week(day))
+    empty = workdays.join(filled.select(*DAY_KEYS).distinct(), [*DAY_KEYS], "left_anti")
+    return filled.unionByName(empty, allowMissingColumns=True)
 
 
 def item_grid(cells: DataFrame, value: str = "tagged") -> DataFrame:

@@ -166,7 +166,9 @@ class Calendar:
 
     @property
     def span_runs(self) -> DataFrame:
-        return layout.span_runs(self.span_cells)
+        """Runs of equal cells. Timed cells take no part while they start with their time."""
+        cells = self.banner_cells if self.timed_stay_apart else self.placed_cells
+        return layout.span_runs(layout.mark_spans(cells))
 
     @property
     def compacted_cells(self) -> DataFrame:
