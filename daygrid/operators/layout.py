@@ -40,8 +40,7 @@ def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame, spread
     All workdays of a week have all its slots, so a slot's position is its
     number within the week and timed items follow after the week's slot count.
     """
-    numbers = slots.select(*WEEK_KEYS, "row_num", F.col("slot_pos").alias("pos"))
-    placed = aligned.join(numbers, [*WEEK_KEYS, "row_num"])
+    placed = aligned.withColumnRenamed("slot_pos", "pos").withColumn("kind", F.lit(0))
     sizes = slots.groupBy(*WEEK_KEYS).agg(F.max("slot_pos").alias("_slots"))
     follows = (
         timed_positions(timed.withColumn("row_num", F.lit(TIMED_ROW_NUM)), spread)
@@ -49,18 +48,17 @@ def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame, spread
         .withColumn("pos", F.coalesce("_slots", F.lit(0)) + F.col("timed_pos"))
         .drop("_slots", "timed_pos")
     )
-    return placed.withColumn("kind", F.lit(0)).unionByName(follows.withColumn("kind", F.lit(1)))
+    return placed.unionByName(follows.withColumn("kind", F.lit(1)))
 
 
-def on_calendar(workdays: DataFrame, positioned: DataFrame) -> DataFrame:
+def on_calendar(workdays: DataFrame, positioned: DataFrame, present: DataFrame) -> DataFrame:
     """Every workday with its positioned rows; days without any keep one row of nulls.
 
     Positioned rows get their place in the month by date arithmetic, so that they
-    need no join. Only the empty days are looked up, among distinct days.
+    need no join. Only the days that are not ``present`` are looked up.
     """
-    day = F.col("session_date")
-    filled = on_workdays(positioned).withColumn("week_block", month_week(day))
-    empty = workdays.join(filled.select(*DAY_KEYS).distinct(), [*DAY_KEYS], "left_anti")
+    filled = on_workdays(positioned).withColumn("week_block", month_week(F.col("session_date")))
+    empty = workdays.join(present, [*DAY_KEYS], "left_anti")
     return filled.unionByName(empty, allowMissingColumns=True)
 
 

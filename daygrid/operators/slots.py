@@ -92,10 +92,12 @@ def first_banners(items: DataFrame) -> DataFrame:
 
 
 def slot_aligned(items: DataFrame, slots: DataFrame, spine: DataFrame) -> DataFrame:
-    """Every slot of the week on every spine day: the day's banner, or a blank row."""
-    wanted = spine.join(
-        slots.select(*WEEK_KEYS, "description", "row_num"), [*WEEK_KEYS]
-    )
+    """Every slot of the week on every spine day: the day's banner, or a blank row.
+
+    ``slot_pos`` stays for placing the rows in the day.
+    """
+    numbers = slots.select(*WEEK_KEYS, "description", "row_num", "slot_pos")
+    wanted = spine.join(numbers, [*WEEK_KEYS])
     banners = first_banners(items).withColumn("found", F.lit(True))
     rows = null_safe_join(wanted, banners, ["calendar_id", "session_date", "description"], "left")
     found = F.col("found").isNotNull()
@@ -110,9 +112,18 @@ def slot_aligned(items: DataFrame, slots: DataFrame, spine: DataFrame) -> DataFr
         "year",
         "week",
         "row_num",
+        "slot_pos",
     )
 
 
+def days_with_rows(items: DataFrame, spine: DataFrame) -> DataFrame:
+    """Distinct days that have slotted rows, from key columns alone."""
+    keys = ["calendar_id", "session_date"]
+    banner_weeks = banner_items(items).select(*WEEK_KEYS).distinct()
+    aligned = spine.join(banner_weeks, [*WEEK_KEYS], "left_semi")
+    return aligned.select(*keys).unionByName(timed_items(items).select(*keys)).distinct()
+
+
 def slotted(aligned: DataFrame, items: DataFrame) -> DataFrame:
     """Aligned slots (kind 0) and timed items (kind 1) in one list."""
     timed = timed_items(items).withColumn("row_num", F.lit(TIMED_ROW_NUM))

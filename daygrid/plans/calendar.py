@@ -94,9 +94,13 @@ class Calendar:
         )
         return not self._measure["unlabelled"] and not changes_label
 
+    @property
+    def unstaged_week_slots(self) -> DataFrame:
+        return slots.week_slots(self.items, self.spread)
+
     @cached_property
     def week_slots(self) -> DataFrame:
-        return slots.week_slots(self.items, self.spread)
+        return stage(self.unstaged_week_slots, "slots")
 
     @property
     def date_spine(self) -> DataFrame:
@@ -119,6 +123,15 @@ class Calendar:
             self.spread,
         )
 
+    @property
+    def calendar_positions(self) -> DataFrame:
+        """`day_positions` on every workday of the calendar years, empty ones included."""
+        return layout.on_calendar(
+            months.workdays_of(months.calendar_years(self.items)),
+            self.day_positions,
+            slots.days_with_rows(self.items, self.date_spine),
+        )
+
     def worded(self, placed: DataFrame) -> DataFrame:
         """Adds the abbreviated and colour-tagged text to rows whose order is settled."""
         short = wording.abbreviate_timed(placed, self.abbreviations)

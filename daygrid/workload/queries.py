@@ -63,7 +63,7 @@ def calendar_items_one_year(spark, sf_dir):
 
 @query
 def week_slots(spark, sf_dir):
-    slots = calendar(spark, sf_dir).week_slots
+    slots = calendar(spark, sf_dir).unstaged_week_slots
     return in_order(slots, ["calendar_id", "row_num"]).drop("slot_pos")
 
 
@@ -74,7 +74,7 @@ def date_spine(spark, sf_dir):
 
 @query
 def slot_aligned(spark, sf_dir):
-    return calendar(spark, sf_dir).slot_aligned
+    return calendar(spark, sf_dir).slot_aligned.drop("slot_pos")
 
 
 @query
@@ -136,8 +136,7 @@ def month_day_grid(spark, sf_dir):
 
 @query
 def day_positions(spark, sf_dir):
-    plan = calendar(spark, sf_dir)
-    return layout.on_calendar(months.workdays_of(plan.years), plan.day_positions)
+    return calendar(spark, sf_dir).calendar_positions
 
 
 @query
