@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,3 +44,11 @@ def month_name(day: Column) -> Column:
 
 def days_in_month(day: Column) -> Column:
     return F.dayofmonth(F.last_day(day))
+
+
+def rows_of_year(dated: DataFrame, year: int | None) -> DataFrame:
+    """The rows of one year as a date range, which scans can use; all rows without a year."""
+    if year is None:
+        return dated
+    start, end = (F.make_date(F.lit(year), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    return dated.where(F.col("session_date").between(start, end))

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.functions.dates import rows_of_year
 from daygrid.functions.text import (
     Abbreviation,
     active_abbreviations,
@@ -19,7 +20,6 @@ from daygrid.operators.items import calendar_items
 from daygrid.operators.ranking import GROUP_ROWS
 from daygrid.plans.staging import stage
 from daygrid.sources.dimensions import Rule, special_days
-from daygrid.sources.sessions import sessions_of_year
 
 
 class Calendar:
@@ -41,10 +41,10 @@ class Calendar:
         year: int | None = None,
         group_rows: int = GROUP_ROWS,
     ):
-        self.sessions = sessions_of_year(sessions, year)
+        self.sessions = rows_of_year(sessions, year)
         self.officers = officers
         self.rules = rules
-        self.special_days = sessions_of_year(special_days(specials), year)
+        self.special_days = special_days(specials, year)
         self.abbreviations = abbreviations
         self.palette = palette or {}
         self.group_rows = group_rows

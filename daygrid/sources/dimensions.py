@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from daygrid.functions.dates import rows_of_year
 from daygrid.functions.text import Abbreviation
 
 OFFICER_SCHEMA = "name string, officer_code string, color string, seq int"
@@ -61,21 +62,26 @@ def read_specials(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPECIAL_SCHEMA).json(path)
 
 
-def special_days(entries: DataFrame) -> DataFrame:
+def special_days(entries: DataFrame, year: int | None = None) -> DataFrame:
     """One row per day of each entry: its single date, or every day of its range.
 
     A range without an end is its first day. One that ends before it begins has
-    no days (``sequence`` alone would count down).
+    no days (``sequence`` alone would count down). With ``year``, entries outside
+    it are left out before their days are made.
     """
     first = F.coalesce("date", "begin_date")
     last = F.coalesce("date", "end_date", "begin_date")
-    return entries.where(last >= first).select(
+    held = entries.where(last >= first)
+    if year is not None:
+        held = held.where((F.year(first) <= year) & (F.year(last) >= year))
+    days = held.select(
         "calendar_id",
         F.explode(F.sequence(first, last)).alias("session_date"),
         "name",
         "color",
         "display_order",
     )
+    return rows_of_year(days, year)
 
 
 def rules_of(rows: Iterable[Mapping]) -> list[Rule]:

@@ -81,13 +81,3 @@ def read_sessions_jdbc(
         F.to_date(columns["session_date"]).alias("session_date"),
         *[F.col(columns[c]).cast("string").alias(c) for c in SESSION_COLUMNS[2:]],
     )
-
-
-def sessions_of_year(dated: DataFrame, year: int | None) -> DataFrame:
-    """The rows of one year as a date range, which scans can use; all rows without a year."""
-    if year is None:
-        return dated
-    return dated.where(
-        F.col("session_date").between(F.make_date(F.lit(year), F.lit(1), F.lit(1)),
-                                      F.make_date(F.lit(year), F.lit(12), F.lit(31)))
-    )

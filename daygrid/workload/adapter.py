@@ -85,8 +85,21 @@ SPECIAL_ROWS = [
 ]
 
 
+# The columns that the queries read, as the tables declare them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", key)
+    return read_table(spark, f"{sf_dir}/{name}.parquet", key, SCHEMAS[name])
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

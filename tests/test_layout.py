@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from daygrid.functions.text import Abbreviation
 from daygrid.operators import layout
 from daygrid.plans.calendar import Calendar
+from daygrid.plans.config import calendar_from_config
+from daygrid.sinks.tables import write_months
 from daygrid.sources import dimensions
 from daygrid.sources.dimensions import Rule
 
@@ -199,3 +201,29 @@ def test_unknown_color_fails_the_job(spark):
     calendar.palette = {"Black": "FF000000"}
     with pytest.raises(Exception, match="unknown colour"):
         calendar.final_grid.collect()
+
+
+def test_calendar_from_a_document_is_written_by_month(spark, tmp_path):
+    document = {
+        "calendar_year": 2025,
+        "officers": [{"name": "A", "officer_code": "AAA", "color": "Red", "seq": 0}],
+        "rules": [{"pattern_name": "jury", "template": "JURY", "display_order": 0}],
+        "specials": [
+            {"calendar_id": "X", "name": "BREAK", "begin_date": "2024-12-30",
+             "end_date": "2025-01-02", "display_order": 2}
+        ],
+        "abbreviations": [{"phrase": "call", "abbrev": "C"}, {"phrase": "\\.", "abbrev": None, "skip": True}],
+        "colors": [{"color_name": n, "argb": a} for n, a in PALETTE.items()],
+    }
+    rows = [("X", dt.date(2025, 1, 7), "09:00", "(AAA) Call", "1", "AAA"),
+            ("X", dt.date(2024, 1, 7), "09:00", "(AAA) Call", "1", "AAA")]
+    calendar = calendar_from_config(spark.createDataFrame(rows, SESSION_SCHEMA), document, year=2024)
+    path = str(tmp_path / "grid")
+    write_months(calendar.final_grid, path)
+    back = spark.read.parquet(path)
+    assert back.select("year").distinct().collect()[0].year == 2025
+    assert back.select("month").distinct().count() == 12
+    january = back.where("month = 1 AND kind = 'items'").orderBy("grid_row").collect()
+    assert [(r.wed, r.wed_span, r.thu, r.tue, r.tue_role) for r in january] == [
+        ("BREAK", 2, None, None, None), (None, None, None, "9:00 C (A)", "timed")
+    ]

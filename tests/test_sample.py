@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from test_layout import rows_of
 
 from daygrid.operators import items, layout, slots
-from daygrid.plans.calendar import Calendar
-from daygrid.sources import dimensions, sessions
+from daygrid.plans.config import calendar_from_config
+from daygrid.sources import sessions
 
 SAMPLE = os.environ.get("SESSION_SAMPLE_CSV")
 CONFIG = json.loads(
@@ -26,10 +26,6 @@ CONFIG = json.loads(
 pytestmark = pytest.mark.skipif(not SAMPLE, reason="SESSION_SAMPLE_CSV names no extract")
 
 
-def _date(text):
-    return dt.date.fromisoformat(text) if text else None
-
-
 @pytest.fixture(scope="module")
 def rows(spark):
     read = sessions.read_sessions_csv(spark, SAMPLE, "sample")
@@ -37,21 +33,8 @@ def rows(spark):
 
 
 @pytest.fixture(scope="module")
-def plan(spark, rows):
-    officers = [(o["name"], o["officer_code"], o["color"], o["seq"]) for o in CONFIG["officers"]]
-    specials = [
-        (s["calendar_id"], s["name"], _date(s["date"]), _date(s["begin_date"]), _date(s["end_date"]),
-         s["color"], s["display_order"])
-        for s in CONFIG["specials"]
-    ]
-    return Calendar(
-        rows,
-        dimensions.officers(spark, officers),
-        dimensions.rules_of(CONFIG["rules"]),
-        dimensions.specials(spark, specials),
-        dimensions.abbreviations_of(CONFIG["abbreviations"]),
-        {c["color_name"]: c["argb"] for c in CONFIG["colors"]},
-    )
+def plan(rows):
+    return calendar_from_config(rows, CONFIG)
 
 
 def test_rows_and_matches(rows, plan):

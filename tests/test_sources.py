@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from daygrid.functions.dates import rows_of_year
 from daygrid.plans import staging
 from daygrid.sinks import tables
 from daygrid.sources import dimensions, sessions
@@ -34,9 +35,9 @@ def test_parquet_sessions_and_year(spark, tmp_path):
     )
     frame.write.parquet(path)
     rows = sessions.read_sessions_parquet(spark, path)
-    one = sessions.sessions_of_year(rows, 2025)
+    one = rows_of_year(rows, 2025)
     assert [r.session_date for r in one.collect()] == [dt.date(2025, 1, 1)]
-    assert sessions.sessions_of_year(rows, None).count() == 2
+    assert rows_of_year(rows, None).count() == 2
 
 
 def test_jdbc_options():
