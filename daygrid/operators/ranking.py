@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daygrid.plans.staging import stage
 
 # Largest group that is left to one sorting task.
-GROUP_ROWS = 1_000_000
+GROUP_ROWS = 4_000_000
 # Positions per piece when a group is split by a dense position.
 BLOCK_ROWS = 65_536
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import rows_of_year
@@ -17,7 +17,7 @@ from daygrid.functions.text import (
 )
 from daygrid.operators import layout, months, slots, wording
 from daygrid.operators.items import calendar_items
-from daygrid.operators.ranking import GROUP_ROWS
+from daygrid.operators.ranking import GROUP_ROWS, largest_group
 from daygrid.plans.staging import stage
 from daygrid.sources.dimensions import Rule, special_days
 
@@ -26,8 +26,8 @@ class Calendar:
     """Calendar tables of all calendars and years in the input, each a lazy DataFrame.
 
     The items are staged once, because banners and timed items are read apart,
-    and measured once: only if some week of a calendar is larger than
-    ``group_rows`` are its groups ranked in pieces.
+    and counted while they are written: only if some calendar year is larger than
+    ``group_rows`` are groups ranked in pieces.
     """
 
     def __init__(
@@ -48,6 +48,7 @@ class Calendar:
         self.abbreviations = abbreviations
         self.palette = palette or {}
         self.group_rows = group_rows
+        self._counts = Observation()
 
     @property
     def unstaged_items(self) -> DataFrame:
@@ -55,7 +56,14 @@ class Calendar:
 
     @cached_property
     def items(self) -> DataFrame:
-        return stage(self.unstaged_items, "items")
+        """The staged items. Writing them also counts them and the timed ones without a label."""
+        unlabelled = ~F.col("start_time").eqNullSafe("") & ~starts_with_digit(F.col("description"))
+        observed = self.unstaged_items.observe(
+            self._counts,
+            F.count("*").alias("rows"),
+            F.count_if(unlabelled).alias("unlabelled"),
+        )
+        return stage(observed, "items")
 
     @property
     def dated(self) -> DataFrame:
@@ -67,20 +75,17 @@ class Calendar:
     def years(self) -> DataFrame:
         return months.calendar_years(self.dated)
 
-    @cached_property
-    def _measure(self):
-        unlabelled = ~F.col("start_time").eqNullSafe("") & ~starts_with_digit(F.col("description"))
-        return (
-            self.items.groupBy(*slots.WEEK_KEYS)
-            .agg(F.count("*").alias("rows"), F.count_if(unlabelled).alias("unlabelled"))
-            .agg(F.max("rows").alias("largest_week"), F.sum("unlabelled").alias("unlabelled"))
-            .first()
-        )
+    def _count(self, name: str) -> int:
+        self.items
+        return self._counts.get[name]
 
-    @property
+    @cached_property
     def spread(self) -> bool:
-        """Whether some week is too large for one task."""
-        return (self._measure["largest_week"] or 0) > self.group_rows
+        """Whether some calendar year, the largest group that is ever ranked, is too large
+        for one task. Fewer items in all need no look at the groups."""
+        if self._count("rows") <= self.group_rows:
+            return False
+        return largest_group(self.items, ["calendar_id", "year"]) > self.group_rows
 
     @property
     def timed_stay_apart(self) -> bool:
@@ -92,7 +97,7 @@ class Calendar:
         changes_label = any(
             entry.phrase[0].isdigit() for entry in active_abbreviations(self.abbreviations)
         )
-        return not self._measure["unlabelled"] and not changes_label
+        return not self._count("unlabelled") and not changes_label
 
     @property
     def unstaged_week_slots(self) -> DataFrame:
