@@ -53,6 +53,9 @@ def session(cpus: int, scratch: str) -> SparkSession:
         # Partitions of a small local run are below the default minimum of 1 MB,
         # and merging them would leave cores idle.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # The queries compile more than the default of 100 code stages; evicted ones
+        # would be compiled and warmed up again in every pass.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Call sites in error messages cost several calls to the JVM per expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")

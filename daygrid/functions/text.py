@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -45,22 +46,27 @@ def active_abbreviations(abbreviations: Sequence[Abbreviation]) -> list[Abbrevia
 def abbreviate(text: Column, abbreviations: Sequence[Abbreviation]) -> Column:
     """Replaces each phrase, in order and whatever its case; later ones see earlier results.
 
-    The steps are a fold over a literal array, so each one refers to the running
-    text by name and the expression stays linear in the number of phrases. The
-    regex runs only on texts that hold the phrase.
+    The steps are a fold over a constant array (the optimizer folds the JSON), so each
+    one refers to the running text by name and the expression does not grow with the
+    number of phrases. The regex runs only on texts that hold the phrase.
     """
     active = active_abbreviations(abbreviations)
     if not active:
         return text
-    steps = F.array(
-        *[
-            F.struct(
-                F.lit(entry.phrase.lower()).alias("needle"),
-                F.lit("(?iu)" + _java_literal(entry.phrase)).alias("pattern"),
-                F.lit(_java_replacement(entry.abbrev)).alias("replacement"),
+    steps = F.from_json(
+        F.lit(
+            json.dumps(
+                [
+                    {
+                        "needle": entry.phrase.lower(),
+                        "pattern": "(?iu)" + _java_literal(entry.phrase),
+                        "replacement": _java_replacement(entry.abbrev),
+                    }
+                    for entry in active
+                ]
             )
-            for entry in active
-        ]
+        ),
+        "array<struct<needle:string,pattern:string,replacement:string>>",
     )
     return F.aggregate(
         steps,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -29,9 +30,9 @@ def color_name(color: Column) -> Column:
 
 def argb_of(color: Column, palette: Mapping[str, str]) -> Column:
     """ARGB of a colour name, null when the palette lacks it. The palette is job
-    configuration and becomes a literal map."""
-    entries = [F.lit(part) for entry in palette.items() for part in entry]
-    return F.try_element_at(F.create_map(*entries), color_name(color))
+    configuration and becomes a constant map of the plan."""
+    known = F.from_json(F.lit(json.dumps(dict(palette))), "map<string,string>")
+    return F.try_element_at(known, color_name(color))
 
 
 def with_argb(items: DataFrame, palette: Mapping[str, str], strict: bool = True) -> DataFrame:
