@@ -118,3 +118,14 @@ def test_months_are_folders_and_rewritten_alone(spark, tmp_path):
         tables.write_months(grid.where("month = 3 AND grid_row < 12"), path, kind)
         back = spark.read.option("header", "true").format(kind).load(path)
         assert back.count() == 23
+
+
+def test_staged_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_staged", [])
+    path = staging.new_scratch_path(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    staging.drop_staged(spark)
+    assert staging._staged == []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
