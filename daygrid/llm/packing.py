@@ -26,11 +26,17 @@ END_ID = 2
 #: Gain below which the least-squares solution isn't improved further.
 TOLERANCE = 1e-6
 
-#: Parts that the tokenizer's own splitting keeps apart, in texts of Latin-1 letters; apostrophes
-#: belong to contractions and are left to the tokenizer.
-_PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_WHITE = str.maketrans("\n\t\r", "   ")
+#: Parts that the tokenizer's own splitting keeps apart, in lower-case texts of Latin-1 letters;
+#: apostrophes belong to contractions and are left to the tokenizer, like all other characters.
+_PART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it is
+    printable and no space, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
 class TokenBytes:
@@ -40,22 +46,30 @@ class TokenBytes:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_part = WordCache(self._part, 400_000)
-        self.by_chunk = WordCache(self._chunk, 300_000)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.by_part = WordCache(self._part, 800_000)
+        self.by_chunk = WordCache(self._chunk, 400_000)
 
     def _part(self, part: str) -> bytes:
-        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        """A lower-case part goes to the tokenizer's merges directly."""
+        if not part.isascii():
+            part = "".join([self.letters[b] for b in part.encode("utf-8")])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(part)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join([self.by_part[p] for p in _PART.findall(chunk.lower())])
-        return self._part(chunk)
+        lowered = chunk.lower()
+        parts = _PART.findall(lowered)
+        if sum(map(len, parts)) == len(lowered) and "<|" not in chunk:
+            return b"".join([self.by_part[p] for p in parts])
+        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """White space is dropped by the tokenizer and nothing joins across it, so what lies
         between is encoded by itself."""
-        return b"".join(map(self.by_chunk.__getitem__, text.translate(_WHITE).split(" ")))
+        spaced = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        return b"".join(map(self.by_chunk.__getitem__, spaced.split(" ")))
 
 
 @lru_cache(maxsize=2)
