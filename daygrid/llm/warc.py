@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.llm.common import small_batches
+
 #: Letters of base32 (fixed values of RFC 4648).
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n\r\n"
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 0
-#: About how many bytes of records an archive file gets.
-FILE_BYTES = 16 << 20
+#: The most records of an archive file; a reader holds one file at a time.
+FILE_RECORDS = 2_000
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
@@ -113,14 +116,14 @@ def record_text(date: Column) -> Column:
 
 
 def write_archives(records: DataFrame, path: str, date: str | None = None) -> None:
-    """Writes records as WARC 1.1 files by Spark's text writer; two line ends part records.
+    """Writes records as gzipped WARC 1.1 files by Spark's text writer; two line ends part records.
 
     ``date`` is every record's WARC-Date, by default the time of the call.
     """
     stamp = F.lit(date) if date else F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     lines = records.select(record_text(stamp).alias("value"))
-    # Rebalancing sizes files by bytes and splits what one digest's task would have too much of.
-    lines.hint("rebalance").write.option("lineSep", _END).option("maxRecordsPerFile", 20_000).text(path)
+    writer = lines.write.option("lineSep", _END).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def _parse(content: bytes) -> Iterator[tuple]:
@@ -149,7 +152,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 rows: list[tuple] = []
-                for head, payload in _parse(content):
+                for head, payload in _parse(gzip.decompress(content)):
                     page = head.get("X-Page-Id")
                     kind = head["WARC-Type"]
                     rows.append(
@@ -165,10 +168,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 yield _frame(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    if not 0 < int(before) <= 1024:
-        spark.conf.set(key, "1024")
+    small_batches(spark)
     return files.mapInPandas(
         run, "page_id long, record_type string, record_id string, url string, payload_digest string, payload binary"
     )
