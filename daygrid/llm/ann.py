@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from daygrid.llm.vectors import matrix, usable_rows
 
 #: Projections, each with an array sorted by its values.
-PROJECTIONS = 64
+PROJECTIONS = 32
 #: First half-width of a query's window in units of the data's scale, and its growth by round.
-WIDTH, GROWTH = 0.25, 1.35
+WIDTH, GROWTH = 0.7, 1.2
 #: Share of the projections whose windows must hold a vector before it is verified.
 COLLISIONS = 0.62
 #: A block's search ends once this share of its vectors, and no fewer than k, was verified.
-VERIFIED = 0.35
+VERIFIED = 0.4
 #: Vectors and queries of a block.
 BLOCK, QUERIES = 8_192, 1_024
 
@@ -63,21 +63,15 @@ def collision_candidates(
         if all((lo == 0).all() and (hi == n).all() for lo, hi in ends):
             break
     for q in range(len(queries)):
-        counts = np.zeros(n, dtype=np.int16)
-        before: list[tuple[int, int]] | None = None
+        counts = np.zeros(n, dtype=np.int64)
+        before = [(0, 0)] * PROJECTIONS
         for ends in limits:
             now = [(int(lo[q]), int(hi[q])) for lo, hi in ends]
-            for p, (lo, hi) in enumerate(now):
-                rows = arrays[p][1]
-                if before is None:
-                    counts[rows[lo:hi]] += 1
-                else:
-                    a, b = before[p]
-                    if a == b:
-                        counts[rows[lo:hi]] += 1
-                    else:
-                        counts[rows[lo:a]] += 1
-                        counts[rows[b:hi]] += 1
+            # Only what a grown window has at its two ends is new.
+            grown = []
+            for (a, b), (lo, hi), (_, rows) in zip(before, now, arrays, strict=True):
+                grown += [rows[lo:hi]] if a == b else [rows[lo:a], rows[b:hi]]
+            counts += np.bincount(np.concatenate(grown), minlength=n)
             before = now
             found = np.nonzero(counts >= needed)[0]
             if len(found) >= enough:
@@ -104,19 +98,13 @@ def _search(k: int):
                     near = near[own_rows[near] != query_row]
                     scores = points[near] @ query
                     best = np.lexsort((own_ids[near], -scores))[:k]
+                    count = len(best)
                     out.append(
-                        pd.DataFrame(
-                            {
-                                "query_row": query_row,
-                                "query_id": query_id,
-                                "vec_id": own_ids[near][best],
-                                "score": scores[best],
-                            }
-                        )
+                        (np.full(count, query_row), np.full(count, query_id), own_ids[near][best], scores[best])
                     )
         names = {"query_row": "int64", "query_id": "int64", "vec_id": "int64", "score": "float64"}
-        made = pd.concat(out) if out else pd.DataFrame({c: [] for c in names})
-        return made.astype(names)
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * len(names)
+        return pd.DataFrame(dict(zip(names, columns, strict=True))).astype(names)
 
     return run
 
