@@ -54,7 +54,7 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.dedup_records(read_table(spark, sf_dir, "pages")), path)
-    return warc.resolve_revisits(warc.read_archives(spark, path))
+    return warc.resolve_revisits(warc.read_archives(spark, path, payloads=False))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

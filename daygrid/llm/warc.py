@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+from base64 import b32encode
 from collections.abc import Iterator
+from hashlib import sha1
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,14 +26,20 @@ _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 
 def payload_digest(payload: Column) -> Column:
     """Bare upper-case base32 SHA-1 of a binary column."""
-    hexed = F.sha1(payload)
-    letters = []
-    for group in range(8):  # 5 hex digits are 20 bits are 4 letters
-        bits = F.conv(F.substring(hexed, 5 * group + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            at = F.shiftright(bits, shift).bitwiseAND(31) + 1
-            letters.append(F.lit(_BASE32).substr(at, F.lit(1)))
-    return F.concat(*letters)
+
+    def letters(bits: Column) -> Column:  # 20 bits are 4 letters
+        places = [F.shiftright(bits, shift).bitwiseAND(31) + 1 for shift in (15, 10, 5, 0)]
+        return F.concat(*[F.lit(_BASE32).substr(at, F.lit(1)) for at in places])
+
+    # Lambda variables hold the hash and its groups of 5 hex digits, each computed once.
+    groups = F.transform(
+        F.array(F.sha1(payload)),
+        lambda hexed: F.transform(
+            F.sequence(F.lit(0), F.lit(7)),
+            lambda g: F.conv(hexed.substr(5 * g + 1, F.lit(5)), 16, 10).cast("int"),
+        ),
+    )[0]
+    return F.array_join(F.transform(groups, letters), "")
 
 
 def _field(name: str, value: Column) -> Column:
@@ -68,11 +76,12 @@ def dedup_records(pages: DataFrame, id_col="page_id", url_col="url", html_col="h
     originals = rows.groupBy("digest").agg(
         top.alias("top"), F.first("html").alias("payload"), F.first("bytes").alias("bytes")
     )
-    small = F.col("bytes") < LEAST_BYTES
+    # Without a least size no revisit needs its payload, and payloads move once only.
+    small = F.when(F.col("bytes") < LEAST_BYTES, F.col("payload")) if LEAST_BYTES else F.lit(None)
     same = F.coalesce("page_id", F.lit(-(2**63))).eqNullSafe(F.col("top.p")) & F.coalesce(
         "url", F.lit("")
     ).eqNullSafe(F.col("top.u"))
-    ids = originals.select("digest", "top", F.when(small, F.col("payload")).alias("small_payload"))
+    ids = originals.select("digest", "top", small.cast("string").alias("small_payload"))
     repeated = (
         heads.join(ids, "digest")
         .select(
@@ -141,11 +150,13 @@ def _parse(content: bytes) -> Iterator[tuple]:
         yield head, payload
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Headers and payloads of all records below ``path``.
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Headers of all records below ``path``, with lengths and digests of their payloads, and
+    the payloads themselves unless they aren't wanted.
 
     Files hold bounded numbers of records and are read whole, one at a time, each where Spark
-    places it.
+    places it. Lengths and digests are computed from the bytes read; a revisit has no length,
+    and the digest that its header gives.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,13 +166,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 for head, payload in _parse(gzip.decompress(content)):
                     page = head.get("X-Page-Id")
                     kind = head["WARC-Type"]
+                    digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), None
+                    if kind == "response":
+                        digest, size = b32encode(sha1(payload).digest()).decode(), len(payload)
                     rows.append(
                         (
                             int(page) if page else None, kind, head["WARC-Record-ID"],
-                            head.get("WARC-Target-URI"), head["WARC-Payload-Digest"].removeprefix("sha1:"),
-                            payload if kind == "response" else None,
+                            head.get("WARC-Target-URI"), digest, size,
+                            payload if kind == "response" and payloads else None,
                         )
-                    )
+                    )
                     if len(rows) == 512:
                         yield _frame(rows)
                         rows = []
@@ -170,30 +184,24 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     small_batches(spark)
     return files.mapInPandas(
-        run, "page_id long, record_type string, record_id string, url string, payload_digest string, payload binary"
+        run,
+        "page_id long, record_type string, record_id string, url string, payload_digest string, "
+        "payload_bytes long, payload binary",
     )
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = ["page_id", "record_type", "record_id", "url", "payload_digest", "payload"]
+    names = "page_id record_type record_id url payload_digest payload_bytes payload".split()
     frame = pd.DataFrame(rows, columns=names)
-    return frame.astype({"page_id": "Int64"})
+    return frame.astype({"page_id": "Int64", "payload_bytes": "Int64"})
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to for every record read.
 
-    Digest and length are computed from the payloads read; revisits take them, and the page
-    they refer to, from the response with their digest.
+    Revisits take their length, and the page they refer to, from the response with their digest.
     """
-    own = records.select(
-        "page_id",
-        "record_type",
-        F.when(F.col("payload").isNotNull(), payload_digest(F.col("payload"))).otherwise(
-            F.col("payload_digest")
-        ).alias("payload_digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-    )
+    own = records.select("page_id", "record_type", "payload_digest", "payload_bytes")
     responses = own.where("record_type = 'response'")
     originals = responses.groupBy("payload_digest").agg(
         F.max("page_id").alias("refers_to"), F.first("payload_bytes").alias("payload_bytes")
