@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import (
@@ -72,11 +72,14 @@ def month_titles(
 ) -> DataFrame:
     """Sheet name, title and subtitle of each month.
 
-    The presiding officers take turns by month: ``seq`` counts them from 0.
+    The presiding officers take turns by month, in the order of ``seq``, which may have gaps.
     """
     count = presiding_count(presiding)
-    months = months_of(years).withColumn("seq", (F.col("month") - 1) % count)
-    named = months.join(presiding.select("seq", F.col("name").alias("presiding")), "seq", "left")
+    months = months_of(years).withColumn("turn", (F.col("month") - 1) % count)
+    # A list of officers is configuration: a window over all of it is one of few rows.
+    turn = F.row_number().over(Window.orderBy("seq", "name")) - 1
+    turns = presiding.select(turn.alias("turn"), F.col("name").alias("presiding"))
+    named = months.join(turns, "turn", "left")
     start = F.col("month_start")
     dated = {
         "${calendar_month_name}$": month_name(start),

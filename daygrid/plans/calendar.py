@@ -46,7 +46,7 @@ class Calendar:
         self.rules = rules
         self.special_days = special_days(specials, year)
         self.abbreviations = abbreviations
-        self.palette = palette or {}
+        self.palette = palette or {"Black": "FF000000"}
         self.group_rows = group_rows
         self._counts = Observation()
 
@@ -109,7 +109,7 @@ class Calendar:
 
     @property
     def date_spine(self) -> DataFrame:
-        return slots.date_spine(self.items)
+        return slots.date_spine(self.dated)
 
     @property
     def slot_aligned(self) -> DataFrame:

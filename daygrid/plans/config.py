@@ -16,8 +16,9 @@ def calendar_from_config(
     sessions: DataFrame, config: Mapping[str, Any], year: int | None = None, **options
 ) -> Calendar:
     """Lists of records under ``officers``, ``rules``, ``specials``, ``abbreviations`` and
-    ``colors``. A ``calendar_year`` in the document overrides ``year``."""
+    ``colors``. A ``calendar_year`` in the document, unless null, overrides ``year``."""
     spark = sessions.sparkSession
+    named_year = config.get("calendar_year")
     return Calendar(
         sessions,
         dimensions.officers(
@@ -37,7 +38,7 @@ def calendar_from_config(
         ),
         dimensions.abbreviations_of(config["abbreviations"]),
         dimensions.palette_of([_fields(c, "color_name argb") for c in config["colors"]]),
-        year=config.get("calendar_year", year),
+        year=year if named_year is None else named_year,
         **options,
     )
 

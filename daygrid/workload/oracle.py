@@ -307,7 +307,7 @@ ORACLE: dict[str, str] = {
     "item_labels": statement("SELECT * FROM labels", "labels"),
     "special_days": statement("SELECT * FROM special_days", "special_days"),
     "calendar_items": statement("SELECT * FROM items", "items"),
-    "calendar_items_one_year": statement("SELECT * FROM items WHERE year = 1996", "items"),
+    "calendar_items_one_year": statement("SELECT * FROM items WHERE year = 2024", "items"),
     "week_slots": statement("SELECT * FROM slots", "slots"),
     "date_spine": statement("SELECT * FROM spine", "spine"),
     "slot_aligned": statement("SELECT * FROM aligned", "aligned"),

@@ -58,7 +58,7 @@ def calendar_items(spark, sf_dir):
 
 @query
 def calendar_items_one_year(spark, sf_dir):
-    return calendar(spark, sf_dir, year=1996).unstaged_items
+    return calendar(spark, sf_dir, year=2024).unstaged_items
 
 
 @query
