@@ -19,6 +19,7 @@ from daygrid.workload.queries import REGISTRY
 HEADLINE = [
     "items_officer_join",
     "items_rule_match",
+    "items_rule_match_distinct",
     "item_labels",
     "special_days",
     "calendar_items",
@@ -39,6 +40,7 @@ HEADLINE = [
     "span_runs",
     "compacted_cells",
     "final_grid",
+    "csv_sessions",
 ]
 
 

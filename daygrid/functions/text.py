@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Sequence
+from functools import lru_cache
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -46,36 +46,48 @@ def active_abbreviations(abbreviations: Sequence[Abbreviation]) -> list[Abbrevia
 def abbreviate(text: Column, abbreviations: Sequence[Abbreviation]) -> Column:
     """Replaces each phrase, in order and whatever its case; later ones see earlier results.
 
-    The steps are a fold over a constant array (the optimizer folds the JSON), so each
-    one refers to the running text by name and the expression does not grow with the
-    number of phrases. The regex runs only on texts that hold the phrase.
+    A text that doesn't hold the phrase in lower case stays, though letters that merely fold
+    together, such as a long s and an s, would match. The steps are a chain of replacements
+    with literal patterns: it grows by one step a phrase, and each pattern is compiled once.
     """
-    active = active_abbreviations(abbreviations)
-    if not active:
-        return text
-    steps = F.from_json(
-        F.lit(
-            json.dumps(
-                [
-                    {
-                        "needle": entry.phrase.lower(),
-                        "pattern": "(?iu)" + _java_literal(entry.phrase),
-                        "replacement": _java_replacement(entry.abbrev),
-                    }
-                    for entry in active
-                ]
-            )
-        ),
-        "array<struct<needle:string,pattern:string,replacement:string>>",
-    )
-    return F.aggregate(
-        steps,
-        text,
-        lambda done, step: F.when(
-            F.contains(F.lower(done), step["needle"]),
-            F.regexp_replace(done, step["pattern"], step["replacement"]),
-        ).otherwise(done),
+    for entry in active_abbreviations(abbreviations):
+        text = F.regexp_replace(text, *_step(entry.phrase, entry.abbrev))
+    return text
+
+
+@lru_cache(maxsize=1)
+def _letter_forms() -> tuple[dict[str, str], set[str]]:
+    """Characters by their lower case, and lower cases that others fold to."""
+    by_lower: dict[str, str] = {}
+    folded = set()
+    for code in range(0x110000):
+        char = chr(code)
+        lower, fold = char.lower(), char.upper().lower()
+        if lower != char or fold != char:
+            by_lower[lower] = by_lower.get(lower, "") + char
+        if fold != lower:
+            folded |= {fold, lower}
+        if len(lower) > 1:
+            folded.add(lower[0])
+    return by_lower, folded
+
+
+def _step(phrase: str, abbrev: str) -> tuple[str, str]:
+    """Pattern and replacement for one phrase.
+
+    Where a character of the phrase has forms that fold to it but have another lower case,
+    the first match begins at the start of the text and looks ahead for the phrase in lower
+    case; each later match goes on from the one before.
+    """
+    literal, replacement = "(?iu:" + _java_literal(phrase) + ")", _java_replacement(abbrev)
+    by_lower, folded = _letter_forms()
+    if folded.isdisjoint(phrase.lower()):
+        return literal, replacement
+    exact = "".join(
+        "[" + "".join(re.escape(c) for c in sorted({char, *by_lower.get(char, "")})) + "]"
+        for char in phrase.lower()
     )
+    return f"(?s)(?:\\A(?=.*{exact})|(?!\\A)\\G)(.*?){literal}", "$1" + replacement
 
 
 def _java_literal(phrase: str) -> str:

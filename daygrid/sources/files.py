@@ -5,16 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(
-    spark: SparkSession, path: str, key: str | None = None, schema: str | None = None
-) -> DataFrame:
-    """A Parquet table. One that has fewer splits than the cluster has cores is spread
-    by the hash of ``key`` (a unique column), so that few large row groups do not
-    bound the parallelism; a table of many splits is read as it lies. A given
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A Parquet table as its splits lie; ``spark.sql.files`` settings size these. A given
     ``schema`` saves the job that reads it from the files."""
     reader = spark.read.schema(schema) if schema else spark.read
-    rows = reader.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if key is None or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, key)
+    return reader.parquet(path)

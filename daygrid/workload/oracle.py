@@ -43,6 +43,13 @@ _ITEM = (
     "calendar_id, session_date, start_time, description, color, officer_code, display_order"
 )
 
+# A rule matches where its words follow one another: each must be in what is left of the text
+# after the one before it.
+_IN_ORDER = """
+          list_reduce(list_prepend(lower(s.description), r.words), lambda rest, word:
+            CASE WHEN contains(rest, word)
+                 THEN substr(rest, strpos(rest, word) + length(word)) END) IS NOT NULL"""
+
 PARTS: dict[str, str] = {
     "sessions": """
         SELECT 'C' || (user_id % 4) AS calendar_id,
@@ -54,7 +61,7 @@ PARTS: dict[str, str] = {
                'N' || lpad(CAST(user_id % 30 AS VARCHAR), 2, '0') AS officer_code
         FROM events""",
     "officers": f"""
-        SELECT n_name AS name, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS officer_code,
+        SELECT n_name AS name, r_name, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS officer_code,
                CASE r_name {_REGION_CASES} END AS color, n_nationkey AS seq
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "rules": f"""
@@ -82,22 +89,33 @@ PARTS: dict[str, str] = {
               FROM entries)""",
     "officer_join": """
         SELECT s.*, o.color FROM sessions s LEFT JOIN officers o USING (officer_code)""",
-    "matched": """
+    "rule_words": """
+        SELECT template, rule_order, list_filter(
+                 string_split(lower(translate(pattern_name, '-', '')), ' '),
+                 lambda word: word <> '') AS words
+        FROM rules""",
+    "matched": f"""
         SELECT s.*, r.template, CAST(r.rule_order AS INTEGER) AS rule_order
-        FROM officer_join s LEFT JOIN rules r ON s.description ILIKE
-          concat('%', replace(replace(r.pattern_name, '-', ''), ' ', '%'), '%')""",
-    "labels": """
-        SELECT calendar_id, session_date,
-               CASE WHEN template IS NOT NULL THEN '' ELSE start_time END AS start_time,
-               CASE WHEN template IS NOT NULL
-                    THEN replace(replace(template, '$CourtRoom}$', room_code),
-                                 '${JudicialOfficer}$', officer_code)
-                    ELSE concat(
-                      strftime(CAST(concat('2025-01-01 ', start_time) AS TIMESTAMP), '%-I:%M '),
-                      regexp_replace(description, '\\([A-Z]{3}\\) ', ''),
-                      ' (', left(reverse(officer_code), 1), ')') END AS description,
-               color, officer_code, coalesce(rule_order, 3) AS display_order
+        FROM officer_join s LEFT JOIN rule_words r ON {_IN_ORDER}""",
+    "clock": """
+        SELECT *, CASE WHEN regexp_full_match(start_time, '([01]?\\d|2[0-3]):[0-5]\\d(:[0-5]\\d)?')
+                       THEN string_split(start_time, ':') END AS hands
         FROM matched""",
+    "labels": """
+        SELECT calendar_id, session_date, if(template IS NULL, start_time, '') AS start_time,
+               if(template IS NULL,
+                  array_to_string(
+                    [(CAST(hands[1] AS INTEGER) + 11) % 12 + 1 || ':' || hands[2] || ' ',
+                     regexp_replace(description, '\\([A-Z]{3}\\) ', ''),
+                     format(' ({})', right(officer_code, 1))], ''),
+                  if(room_code IS NULL OR officer_code IS NULL, NULL,
+                     list_reduce(string_split(
+                       list_reduce(string_split(template, '$CourtRoom}$'),
+                                   lambda head, tail: head || room_code || tail),
+                       '${JudicialOfficer}$'),
+                     lambda head, tail: head || officer_code || tail))) AS description,
+               color, officer_code, ifnull(rule_order, 3) AS display_order
+        FROM clock""",
     "items": f"""
         SELECT *, CAST(year(session_date) AS INTEGER) AS year,
                CAST(strftime(session_date, '%U') AS INTEGER) AS week
@@ -251,8 +269,10 @@ PARTS: dict[str, str] = {
                monthname(month_start) || ' ' || year AS sheet_name,
                monthname(month_start) || ' ' || year || ' Master Calendar' AS title,
                'Presiding: ' || name AS subtitle
-        FROM month_list LEFT JOIN (SELECT * FROM officers WHERE seq < {adapter.PRESIDING_NATIONS}) o
-          ON (month - 1) % {adapter.PRESIDING_NATIONS} = o.seq""",
+        FROM month_list JOIN (
+          SELECT name, row_number() OVER (ORDER BY seq) - 1 AS turn, count(*) OVER () AS turns
+          FROM officers WHERE r_name = {_text(adapter.PRESIDING_REGION)}) o
+          ON (month - 1) % turns = turn""",
 }
 
 # Which parts each part reads, in the order above.
@@ -295,15 +315,14 @@ _PAINT = f"""
                               THEN {_abbreviated("description", adapter.ABBREVIATIONS)}
                               ELSE description END AS short FROM items))))"""
 
-_MATCHED = """
+_MATCHED = f"""
     SELECT s.*, r.template, CAST(r.rule_order AS INTEGER) AS rule_order
-    FROM sessions s LEFT JOIN rules r ON s.description ILIKE
-      concat('%', replace(replace(r.pattern_name, '-', ''), ' ', '%'), '%')"""
+    FROM sessions s LEFT JOIN rule_words r ON {_IN_ORDER}"""
 
 ORACLE: dict[str, str] = {
     "items_officer_join": statement("SELECT * FROM officer_join", "officer_join"),
-    "items_rule_match": statement(_MATCHED, "sessions", "rules"),
-    "items_rule_match_distinct": statement(_MATCHED, "sessions", "rules"),
+    "items_rule_match": statement(_MATCHED, "sessions", "rule_words"),
+    "items_rule_match_distinct": statement(_MATCHED, "sessions", "rule_words"),
     "item_labels": statement("SELECT * FROM labels", "labels"),
     "special_days": statement("SELECT * FROM special_days", "special_days"),
     "calendar_items": statement("SELECT * FROM items", "items"),

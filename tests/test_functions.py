@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,20 @@ def test_abbreviations_are_literal(spark):
     ]
 
 
+def test_abbreviations_of_letters_that_fold_together(spark):
+    pairs = [("sign", "$1"), ("Kis", "k"), ("that", "T"), ("\u00c5ng", "A"), ("\u03c3a", "S")]
+    texts = ["\u017fign", "sign \u017fign SIGN", "x\n\u017fign\ny Sign", "\u212aIS", "kis \u212ai\u017f", "sigsign",
+             "\u212bNG \u00e5ng", "THAT that", "\u03c2a \u03a3A \u03c3a", "\u03c2a", "s" * 5000 + "ign", "", None]
+
+    def model(text):
+        for phrase, abbrev in pairs:
+            if text and phrase.lower() in text.lower():
+                text = re.sub(re.escape(phrase), lambda _: abbrev, text, flags=re.IGNORECASE)
+        return text
+
+    assert abbreviated(spark, pairs, texts) == [model(t) for t in texts]
+
+
 def test_abbreviation_without_replacement():
     with pytest.raises(ValueError):
         text.active_abbreviations([Abbreviation("ab", None)])
