@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from daygrid.functions.dates import is_workday, iso_weekday, month_week
 from daygrid.functions.text import cell_role, is_blank, starts_with_digit, tag_argb, untag
 from daygrid.operators.months import PAD, WORKDAYS
-from daygrid.operators.ranking import BLOCK_ROWS, dense_numbers, row_numbers, running
+from daygrid.operators.ranking import block_of, dense_numbers, row_numbers
 from daygrid.operators.slots import TIMED_ROW_NUM, WEEK_KEYS
 from daygrid.plans.staging import stage
 
@@ -29,12 +29,13 @@ def on_workdays(dated: DataFrame) -> DataFrame:
     )
 
 
-def timed_positions(timed: DataFrame, spread: bool) -> DataFrame:
+def timed_positions(timed: DataFrame) -> DataFrame:
     """Adds ``timed_pos``, the place of a timed item among those of its day."""
-    return row_numbers(timed, DAY_KEYS, TIMED_ORDER, "timed_pos", spread)
+    pieces = [F.col("display_order"), F.col("start_time")]
+    return row_numbers(timed, {"timed_pos": DAY_KEYS}, TIMED_ORDER, pieces)
 
 
-def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame, spread: bool) -> DataFrame:
+def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame) -> DataFrame:
     """Every slotted row with its position in the day: slots first, then timed items.
 
     All workdays of a week have all its slots, so a slot's position is its
@@ -43,7 +44,7 @@ def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame, spread
     placed = aligned.withColumnRenamed("slot_pos", "pos").withColumn("kind", F.lit(0))
     sizes = slots.groupBy(*WEEK_KEYS).agg(F.max("slot_pos").alias("_slots"))
     follows = (
-        timed_positions(timed.withColumn("row_num", F.lit(TIMED_ROW_NUM)), spread)
+        timed_positions(timed.withColumn("row_num", F.lit(TIMED_ROW_NUM)))
         .join(sizes, [*WEEK_KEYS], "left")
         .withColumn("pos", F.coalesce("_slots", F.lit(0)) + F.col("timed_pos"))
         .drop("_slots", "timed_pos")
@@ -72,12 +73,12 @@ def item_grid(cells: DataFrame, value: str = "tagged") -> DataFrame:
     )
 
 
-def drop_blank_rows(cells: DataFrame, spread: bool, position: str = "pos") -> DataFrame:
+def drop_blank_rows(cells: DataFrame, position: str = "pos") -> DataFrame:
     """Renumbers positions over the rows of a week that show something on a workday.
 
     ``cells`` holds non-blank cells only, so a row without any is already gone.
     """
-    ranked = dense_numbers(cells, BLOCK_KEYS, position, "_pos", spread)
+    ranked = dense_numbers(cells, BLOCK_KEYS, position, "_pos")
     return ranked.drop(position).withColumnRenamed("_pos", position)
 
 
@@ -136,33 +137,43 @@ def paint(decoded: DataFrame) -> DataFrame:
     )
 
 
-def compact(cells: DataFrame, spread: bool) -> DataFrame:
+def compact(cells: DataFrame) -> DataFrame:
     """Adds ``new_pos``: cells move up over blank ones, but not past a merged cell.
 
     Between two merged cells of a day, the k-th other cell takes the k-th place
     after the upper one. Cells whose decoded text is blank vanish unless merged.
+    A day is counted in blocks of its positions; what a block needs to know of
+    the blocks above it is one number, the place after which its cells begin.
     """
     merged = F.col("span_days").isNotNull()
-    held = cells.where(merged | ~is_blank(F.col("text")))
+    mover, wall = F.when(merged, 0).otherwise(1), F.when(merged, F.col("pos"))
+    held = cells.where(merged | ~is_blank(F.col("text"))).withColumn("_block", block_of("pos"))
     day = [*BLOCK_KEYS, "session_date", "dow"]
-    counted = running(
-        held, day, "pos", {"_movers": ("sum", F.when(merged, 0).otherwise(1))}, spread
-    )
-    walled = running(
-        counted,
-        day,
-        "pos",
+    through = W.partitionBy(*day, "_block").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    local = held.withColumn("_movers", F.sum(mover).over(through)).withColumns(
         {
-            "_wall": ("max", F.when(merged, F.col("pos"))),
-            "_walled": ("max", F.when(merged, F.col("_movers"))),
-        },
-        spread,
+            "_wall": F.max(wall).over(through),
+            "_walled": F.max(F.when(merged, F.col("_movers"))).over(through),
+        }
     )
-    moved = (
-        F.coalesce("_wall", F.lit(0)) + F.col("_movers") - F.coalesce("_walled", F.lit(0))
-    ).cast("int")
-    return walled.withColumn("new_pos", F.when(merged, F.col("pos")).otherwise(moved)).drop(
-        "_movers", "_wall", "_walled"
+    above = W.partitionBy(*day).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    begins = (
+        local.groupBy(*day, "_block")
+        .agg(F.sum(mover).alias("n"), F.max("_wall").alias("w"), F.max("_walled").alias("m"))
+        .withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0)))
+        .withColumn("m", F.max(F.col("before") + F.col("m")).over(above))
+        .select(
+            *day,
+            "_block",
+            (F.coalesce(F.max("w").over(above), F.lit(0)) + F.col("before")
+             - F.coalesce("m", F.lit(0))).alias("_begin"),
+        )
+    )
+    moved = F.coalesce(F.col("_wall") - F.col("_walled"), F.col("_begin")) + F.col("_movers")
+    return (
+        local.join(begins, [*day, "_block"])
+        .withColumn("new_pos", F.when(merged, F.col("pos")).otherwise(moved).cast("int"))
+        .select(*cells.columns, "new_pos")
     )
 
 
@@ -207,28 +218,12 @@ def day_rows(day_grid: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(rows: DataFrame, spread: bool) -> DataFrame:
+def number_rows(rows: DataFrame) -> DataFrame:
     """Adds ``grid_row``, the number of a row within its month, by week and position.
 
-    With ``spread`` a week is counted in blocks of its positions, and each block
-    starts after the rows of the blocks before it.
+    The rows are staged, because a week's blocks of positions are counted before
+    rows are numbered.
     """
     month = ("calendar_id", "year", "month")
-    if not spread:
-        window = W.partitionBy(*month).orderBy("week", "pos")
-        return rows.withColumn("grid_row", F.row_number().over(window)).drop("pos")
-    blocks = stage(rows, "rows").withColumn("_block", F.floor(F.col("pos") / BLOCK_ROWS))
-    keys = [*BLOCK_KEYS, "_block"]
-    before = W.partitionBy(*month).orderBy("week", "_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        blocks.groupBy(*keys)
-        .count()
-        .select(*keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = W.partitionBy(*keys).orderBy("pos")
-    return (
-        blocks.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, keys)
-        .withColumn("grid_row", (F.col("_local") + F.col("_offset")).cast("int"))
-        .drop("_block", "_local", "_offset", "pos")
-    )
+    pieces = [F.col("week"), block_of("pos")]
+    return row_numbers(stage(rows, "rows"), {"grid_row": month}, ["week", "pos"], pieces).drop("pos")

@@ -1,9 +1,8 @@
-"""Row numbers and running values within groups of any size.
+"""Row numbers within groups of any size.
 
-A window sorts each group in one task. That is the right plan while the largest
-group is known to fit; for larger ones the functions here take ``spread=True``
-and give the same numbers from pieces of a group that are ranked in parallel
-and then offset by the sizes of the pieces before them.
+A window sorts each of its groups in one task. Groups here are divided into pieces by
+the leading sort keys: rows are numbered within their piece, and each piece begins after
+the rows of the pieces before it, whose counts are combined before they are shuffled.
 """
 
 from __future__ import annotations
@@ -14,11 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daygrid.plans.staging import stage
-
-# Largest group that is left to one sorting task.
-GROUP_ROWS = 4_000_000
-# Positions per piece when a group is split by a dense position.
+# Positions in a piece of a group that has dense positions.
 BLOCK_ROWS = 65_536
 
 
@@ -27,99 +22,54 @@ def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def largest_group(frame: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group, from partial counts."""
-    return frame.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def block_of(position: str) -> Column:
+    """The piece that a position belongs to."""
+    return F.floor(F.col(position) / BLOCK_ROWS)
 
 
 def row_numbers(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, spread: bool
-) -> DataFrame:
-    """``row_number() over (partition by keys order by order nulls last)`` as ``name``."""
-    if not spread:
-        window = W.partitionBy(*keys).orderBy(*ascending(order))
-        return frame.withColumn(name, F.row_number().over(window))
-    # Range partitions are even whatever the keys, and each one holds a
-    # contiguous piece of every group it touches. They are written before use so
-    # that counting and ranking see the same pieces.
-    pieces = stage(
-        frame.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *ascending(order))
-        .withColumn("_piece", F.spark_partition_id()),
-        "pieces",
-    )
-    piece_keys = [*keys, "_piece"]
-    local = pieces.withColumn(
-        "_local", F.row_number().over(W.partitionBy(*piece_keys).orderBy(*ascending(order)))
-    )
-    before = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        pieces.groupBy(*piece_keys)
-        .count()
-        .select(*piece_keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    )
-    return (
-        null_safe_join(local, offsets, piece_keys)
-        .withColumn(name, (F.col("_local") + F.col("_offset")).cast("int"))
-        .drop("_piece", "_local", "_offset")
-    )
-
-
-def dense_numbers(
-    frame: DataFrame, keys: Sequence[str], order: str, name: str, spread: bool
-) -> DataFrame:
-    """``dense_rank() over (partition by keys order by order)`` as ``name``; order is not null."""
-    if not spread:
-        window = W.partitionBy(*keys).orderBy(order)
-        return frame.withColumn(name, F.dense_rank().over(window))
-    ranked = row_numbers(frame.select(*keys, order).distinct(), keys, [order], name, spread)
-    return frame.join(ranked, [*keys, order])
-
-
-def running(
     frame: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    values: Mapping[str, tuple[str, Column]],
-    spread: bool,
+    numbers: Mapping[str, Sequence[str]],
+    order: Sequence[str],
+    pieces: Sequence[Column],
 ) -> DataFrame:
-    """Running ``sum`` or ``max`` up to and including each row, by an integer position.
+    """``row_number() over (partition by keys order by order nulls last)`` for each
+    (name, keys) of ``numbers``.
 
-    ``values`` maps a new column to (``"sum"`` or ``"max"``, expression).
+    ``pieces`` never decrease in this order, nulls last. Null keys are a group like others.
     """
-    combine = {"sum": F.sum, "max": F.max}
-    if not spread:
-        window = W.partitionBy(*keys).orderBy(position).rowsBetween(W.unboundedPreceding, 0)
-        return frame.withColumns(
-            {name: combine[how](value).over(window) for name, (how, value) in values.items()}
+    keys = list(dict.fromkeys(key for group in numbers.values() for key in group))
+    parts = [f"part_{i}" for i in range(len(pieces))]
+    piece = F.struct(*keys, *[p.alias(name) for p, name in zip(pieces, parts)])
+    split = frame.withColumn("_piece", piece)
+    within = W.partitionBy("_piece").orderBy(*ascending(order))
+    local = split.withColumn("_local", F.row_number().over(within))
+    counts = split.groupBy("_piece").count()
+
+    def rows_before(group: Sequence[str]) -> Column:
+        window = W.partitionBy(*[f"_piece.{key}" for key in group])
+        earlier = window.orderBy(*ascending([f"_piece.{name}" for name in parts]))
+        return F.coalesce(
+            F.sum("count").over(earlier.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         )
-    blocks = frame.withColumn("_block", F.floor(F.col(position) / BLOCK_ROWS))
-    inside = (
-        W.partitionBy(*keys, "_block").orderBy(position).rowsBetween(W.unboundedPreceding, 0)
+
+    starts = counts.select(
+        "_piece", *[rows_before(group).alias(f"_before_{name}") for name, group in numbers.items()]
     )
-    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        blocks.groupBy(*keys, "_block")
-        .agg(*[combine[how](value).alias(name) for name, (how, value) in values.items()])
-        .select(
-            *keys,
-            "_block",
-            *[
-                combine[how](name).over(before).alias(f"_before_{name}")
-                for name, (how, _) in values.items()
-            ],
+    return (
+        local.join(starts, "_piece")
+        .withColumns(
+            {n: (F.col("_local") + F.col(f"_before_{n}")).cast("int") for n in numbers}
         )
+        .select(*frame.columns, *numbers)
     )
-    joined = blocks.withColumns(
-        {name: combine[how](value).over(inside) for name, (how, value) in values.items()}
-    ).join(carried, [*keys, "_block"])
-    merge = {
-        "sum": lambda name: F.coalesce(F.col(name), F.lit(0))
-        + F.coalesce(F.col(f"_before_{name}"), F.lit(0)),
-        "max": lambda name: F.greatest(name, f"_before_{name}"),
-    }
-    return joined.withColumns({name: merge[how](name) for name, (how, _) in values.items()}).drop(
-        "_block", *[f"_before_{name}" for name in values]
-    )
+
+
+def dense_numbers(frame: DataFrame, keys: Sequence[str], position: str, name: str) -> DataFrame:
+    """``dense_rank() over (partition by keys order by position)`` as ``name``; no nulls."""
+    distinct = frame.select(*keys, position).distinct()
+    ranked = row_numbers(distinct, {name: keys}, [position], [block_of(position)])
+    return frame.join(ranked, [*keys, position])
 
 
 def null_safe_join(

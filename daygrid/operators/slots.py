@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import is_workday
@@ -27,33 +26,18 @@ def timed_items(items: DataFrame) -> DataFrame:
     return items.where(~F.col("start_time").eqNullSafe(""))
 
 
-def week_slots(items: DataFrame, spread: bool) -> DataFrame:
+def week_slots(items: DataFrame) -> DataFrame:
     """Distinct banner texts of each week, numbered through the calendar year.
 
-    ``slot_pos`` is the number within the week and ``row_num`` the one within the
-    year, both from one partitioning by year. With ``spread``, weeks are ranked
-    in pieces and ``row_num`` adds the sizes of the weeks before; that is the same
-    number, because the week is its leading sort key.
+    ``slot_pos`` is the number within the week and ``row_num`` the one within the year.
     """
     slots = banner_items(items).select(*WEEK_KEYS, "display_order", "description").distinct()
-    in_week = ["display_order", "description"]
-    year = ["calendar_id", "year"]
-    columns = [*WEEK_KEYS, *in_week, "slot_pos", "row_num"]
-    if not spread:
-        through = W.partitionBy(*year).orderBy(*ascending(["week", *in_week]))
-        within = W.partitionBy(*WEEK_KEYS).orderBy(*ascending(in_week))
-        # The first window partitions by year alone, which serves the second too.
-        numbered = slots.withColumn("row_num", F.row_number().over(through))
-        return numbered.withColumn("slot_pos", F.row_number().over(within)).select(*columns)
-    ranked = row_numbers(slots, WEEK_KEYS, in_week, "slot_pos", spread)
-    earlier = W.partitionBy(*year).orderBy("week").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        slots.groupBy(*WEEK_KEYS)
-        .count()
-        .select(*WEEK_KEYS, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
+    return row_numbers(
+        slots,
+        {"slot_pos": WEEK_KEYS, "row_num": ("calendar_id", "year")},
+        ["week", "display_order", "description"],
+        [F.col("week"), F.col("display_order"), F.left("description", F.lit(8))],
     )
-    row_num = (F.col("_offset") + F.col("slot_pos")).cast("int").alias("row_num")
-    return ranked.join(offsets, [*WEEK_KEYS]).select(*columns[:-1], row_num)
 
 
 def date_spine(dated: DataFrame) -> DataFrame:

@@ -5,29 +5,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import rows_of_year
-from daygrid.functions.text import (
-    Abbreviation,
-    active_abbreviations,
-    is_blank,
-    starts_with_digit,
-)
+from daygrid.functions.text import Abbreviation, is_blank, starts_with_digit
 from daygrid.operators import layout, months, slots, wording
 from daygrid.operators.items import calendar_items
-from daygrid.operators.ranking import GROUP_ROWS, largest_group
 from daygrid.plans.staging import stage
 from daygrid.sources.dimensions import Rule, special_days
 
 
 class Calendar:
-    """Calendar tables of all calendars and years in the input, each a lazy DataFrame.
+    """Calendar tables of all calendars and years in the input.
 
-    The items are staged once, because banners and timed items are read apart,
-    and counted while they are written: only if some calendar year is larger than
-    ``group_rows`` are groups ranked in pieces.
+    The items are staged once, because banners and timed items are read apart. So are
+    the week slots, the banners of the grid and its rows; a property that builds on one
+    of these writes it first.
     """
 
     def __init__(
@@ -39,7 +33,6 @@ class Calendar:
         abbreviations: Sequence[Abbreviation] = (),
         palette: Mapping[str, str] | None = None,
         year: int | None = None,
-        group_rows: int = GROUP_ROWS,
     ):
         self.sessions = rows_of_year(sessions, year)
         self.officers = officers
@@ -47,8 +40,6 @@ class Calendar:
         self.special_days = special_days(specials, year)
         self.abbreviations = abbreviations
         self.palette = palette or {"Black": "FF000000"}
-        self.group_rows = group_rows
-        self._counts = Observation()
 
     @property
     def unstaged_items(self) -> DataFrame:
@@ -56,14 +47,7 @@ class Calendar:
 
     @cached_property
     def items(self) -> DataFrame:
-        """The staged items. Writing them also counts them and the timed ones without a label."""
-        unlabelled = ~F.col("start_time").eqNullSafe("") & ~starts_with_digit(F.col("description"))
-        observed = self.unstaged_items.observe(
-            self._counts,
-            F.count("*").alias("rows"),
-            F.count_if(unlabelled).alias("unlabelled"),
-        )
-        return stage(observed, "items")
+        return stage(self.unstaged_items, "items")
 
     @property
     def dated(self) -> DataFrame:
@@ -75,33 +59,9 @@ class Calendar:
     def years(self) -> DataFrame:
         return months.calendar_years(self.dated)
 
-    def _count(self, name: str) -> int:
-        self.items
-        return self._counts.get[name]
-
-    @cached_property
-    def spread(self) -> bool:
-        """Whether some calendar year, the largest group that is ever ranked, is too large
-        for one task. Fewer items in all need no look at the groups."""
-        if self._count("rows") <= self.group_rows:
-            return False
-        return largest_group(self.items, ["calendar_id", "year"]) > self.group_rows
-
-    @property
-    def timed_stay_apart(self) -> bool:
-        """Whether every timed text starts with its time label.
-
-        Such texts are never blank and never merge, so they only follow the
-        banners of their day.
-        """
-        changes_label = any(
-            entry.phrase[0].isdigit() for entry in active_abbreviations(self.abbreviations)
-        )
-        return not self._count("unlabelled") and not changes_label
-
     @property
     def unstaged_week_slots(self) -> DataFrame:
-        return slots.week_slots(self.items, self.spread)
+        return slots.week_slots(self.items)
 
     @cached_property
     def week_slots(self) -> DataFrame:
@@ -125,7 +85,6 @@ class Calendar:
             self.slot_aligned,
             layout.on_workdays(slots.timed_items(self.items)).drop("month", "dow"),
             self.week_slots,
-            self.spread,
         )
 
     @property
@@ -157,69 +116,82 @@ class Calendar:
             self.week_slots.select(*slots.WEEK_KEYS, "description", F.col("slot_pos").alias("pos")),
             [*slots.WEEK_KEYS, "description"],
         )
-        rows = layout.drop_blank_rows(placed, self.spread).withColumn("start_time", F.lit(""))
+        rows = layout.drop_blank_rows(placed).withColumn("start_time", F.lit(""))
         return _cell_columns(self.worded(rows))
 
+    @cached_property
+    def marked_banners(self) -> DataFrame:
+        """Decoded banner cells and their runs of equal neighbours."""
+        return stage(layout.decode(layout.mark_spans(self.banner_cells)), "cells")
+
+    @cached_property
+    def moved_banners(self) -> DataFrame:
+        return stage(layout.compact(self.marked_banners), "banners")
+
     @property
     def timed_cells(self) -> DataFrame:
-        """Timed cells at their position within the timed items of their day."""
+        """Timed cells after the last banner row of the week, and their place ``timed_pos``
+        among the timed items of the day. No such text is blank: it holds the brackets of
+        its officer."""
         timed = layout.on_workdays(slots.timed_items(self.items))
-        placed = layout.timed_positions(timed, self.spread).withColumnRenamed("timed_pos", "pos")
-        return _cell_columns(self.worded(placed))
-
-    @property
-    def placed_cells(self) -> DataFrame:
-        """All non-blank cells: banners, and timed cells after the last banner row of the week."""
-        banners, timed = self.banner_cells, self.timed_cells
         keys = [*layout.BLOCK_KEYS]
-        sizes = banners.groupBy(*keys).agg(F.max("pos").alias("_rows"))
-        after = timed.join(sizes, keys, "left").withColumn(
-            "pos", F.coalesce("_rows", F.lit(0)) + F.col("pos")
+        sizes = self.marked_banners.groupBy(*keys).agg(F.max("pos").alias("_rows"))
+        placed = (
+            self.worded(layout.timed_positions(timed))
+            .join(sizes, keys, "left")
+            .withColumn("pos", F.coalesce("_rows", F.lit(0)) + F.col("timed_pos"))
         )
-        return banners.unionByName(after.drop("_rows"))
+        return _cell_columns(placed, "timed_pos")
 
     @property
-    def span_cells(self) -> DataFrame:
-        return layout.decode(layout.mark_spans(self.placed_cells))
+    def marked_timed(self) -> DataFrame:
+        """Timed cells with their runs. Only texts that don't start with a digit, as those
+        without a readable time, can be in one."""
+        cells = self.timed_cells
+        labelled = starts_with_digit(F.col("tagged"))
+        nowhere = F.lit(None).cast("int")
+        alone = cells.where(labelled).withColumns({"span_first": nowhere, "span_days": nowhere})
+        return alone.unionByName(layout.mark_spans(cells.where(~labelled)))
 
     @property
     def span_runs(self) -> DataFrame:
-        """Runs of equal cells. Timed cells take no part while they start with their time."""
-        cells = self.banner_cells if self.timed_stay_apart else self.placed_cells
-        return layout.span_runs(layout.mark_spans(cells))
+        loose = layout.mark_spans(self.timed_cells.where(~starts_with_digit(F.col("tagged"))))
+        banners = self.marked_banners
+        columns = [c for c in loose.columns if c in banners.columns]
+        return layout.span_runs(banners.select(*columns).unionByName(loose.select(*columns)))
 
     @property
     def compacted_cells(self) -> DataFrame:
-        """Cells with their position before and after they move up."""
-        if not self.timed_stay_apart:
-            return layout.compact(stage(self.span_cells, "cells"), self.spread)
-        marked = layout.decode(layout.mark_spans(self.banner_cells))
-        if self.spread:
-            marked = stage(marked, "cells")
-        banners = stage(layout.compact(marked, self.spread), "banners")
-        # The last banner of a day, merged or moved, is where its timed items begin.
+        """Cells with their position before and after they move up.
+
+        Timed cells fill their day without gaps. So they follow its last banner, merged or
+        moved, down to the first merged one among them; that one and all below it stay.
+        """
+        banners, timed = self.moved_banners, self.marked_timed
         keys = [*layout.DAY_KEYS]
         floors = banners.groupBy(*keys).agg(F.max("new_pos").alias("_floor"))
-        timed = (
-            layout.decode(self.timed_cells)
+        walls = (
+            timed.where(F.col("span_days").isNotNull())
+            .groupBy(*keys)
+            .agg(F.min("pos").alias("_wall"))
+        )
+        stays = F.coalesce(F.col("pos") >= F.col("_wall"), F.lit(False))
+        moved = F.coalesce("_floor", F.lit(0)) + F.col("timed_pos")
+        placed = (
+            layout.decode(timed)
             .join(floors, keys, "left")
-            .withColumns(
-                {
-                    "span_first": F.lit(None).cast("int"),
-                    "span_days": F.lit(None).cast("int"),
-                    "new_pos": F.coalesce("_floor", F.lit(0)) + F.col("pos"),
-                }
-            )
+            .join(walls, keys, "left")
+            .withColumn("new_pos", F.when(stays, F.col("pos")).otherwise(moved))
         )
-        return banners.unionByName(timed.select(*banners.columns))
+        return banners.unionByName(placed.select(*banners.columns))
 
     @property
     def final_grid(self) -> DataFrame:
         """Day-number rows and item rows of every month, numbered from its top."""
         body = layout.wide_rows(self.compacted_cells)
         heads = layout.day_rows(months.month_day_grid(months.calendar_years(self.items)))
-        return layout.number_rows(heads.unionByName(body), self.spread)
+        return layout.number_rows(heads.unionByName(body))
 
 
-def _cell_columns(cells: DataFrame) -> DataFrame:
-    return cells.select(*layout.BLOCK_KEYS, "session_date", "dow", "pos", "tagged")
+def _cell_columns(cells: DataFrame, *more: str) -> DataFrame:
+    return cells.select(*layout.BLOCK_KEYS, "session_date", "dow", "pos", "tagged", *more)

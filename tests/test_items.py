@@ -129,16 +129,15 @@ def test_slots_number_weeks_through_the_year(spark):
         (d(2025, 1, 14), "", "c", None, "", 9),
         (d(2026, 1, 6), "", "z", None, "", 9),
     )
-    for spread in (False, True):
-        found = slots.week_slots(rows, spread).collect()
-        assert sorted((r.year, r.row_num, r.week, r.display_order, r.description, r.slot_pos) for r in found) == [
-            (2025, 1, 1, 2, "b", 1),
-            (2025, 2, 1, 2, None, 2),
-            (2025, 3, 1, 3, "b", 3),
-            (2025, 4, 2, 9, "c", 1),
-            (2025, 5, 2, None, "a", 2),
-            (2026, 1, 1, 9, "z", 1),
-        ]
+    found = slots.week_slots(rows).collect()
+    assert sorted((r.year, r.row_num, r.week, r.display_order, r.description, r.slot_pos) for r in found) == [
+        (2025, 1, 1, 2, "b", 1),
+        (2025, 2, 1, 2, None, 2),
+        (2025, 3, 1, 3, "b", 3),
+        (2025, 4, 2, 9, "c", 1),
+        (2025, 5, 2, None, "a", 2),
+        (2026, 1, 1, 9, "z", 1),
+    ]
 
 
 def test_alignment(spark):
@@ -153,7 +152,7 @@ def test_alignment(spark):
         (d(2025, 1, 8), "10:00", "t", None, "A", 3),
         (d(2025, 1, 8), None, "n", None, "A", 3),
     )
-    aligned = slots.slot_aligned(rows, slots.week_slots(rows, False), slots.date_spine(rows))
+    aligned = slots.slot_aligned(rows, slots.week_slots(rows), slots.date_spine(rows))
     found = [(r.session_date.day, r.row_num, r.description, r.color, r.display_order) for r in aligned.collect()]
     expected = [(3, 1, "b", "Red", 2), (3, 2, "b", "Red", 2)]
     for day in range(6, 11):

@@ -86,36 +86,18 @@ ODD_TIMES = [None, "", "ALL DAY", "9:5", "09:00"]
 
 
 @pytest.mark.parametrize(
-    "seed,times,group_rows",
-    [
-        (1, GOOD_TIMES, 10**6),
-        (2, GOOD_TIMES, 0),
-        (3, ODD_TIMES, 10**6),
-        (4, ODD_TIMES, 0),
-        (5, ["ALL DAY"], 10**6),
-        (6, GOOD_TIMES, 10**6),
-    ],
-)
-def test_grid_equals_sequential_model(spark, monkeypatch, seed, times, group_rows):
-    monkeypatch.setattr(layout, "BLOCK_ROWS", 3)
+    "seed,times",
+    [(1, GOOD_TIMES), (2, GOOD_TIMES), (3, ODD_TIMES), (4, ODD_TIMES), (5, ["ALL DAY"]),
+     (6, [*GOOD_TIMES, "0 AM", "ALL DAY"]), (7, ["0 AM", "09:00"])],
+)
+def test_grid_equals_sequential_model(spark, monkeypatch, seed, times):
     monkeypatch.setattr("daygrid.operators.ranking.BLOCK_ROWS", 3)
-    calendar = calendar_of(
-        spark, random_sessions(seed, times), random_specials(seed), group_rows=group_rows
-    )
+    calendar = calendar_of(spark, random_sessions(seed, times), random_specials(seed))
     items = [r.asDict() for r in calendar.items.collect()]
     expected = sorted(grid(items, [(a.phrase, a.abbrev) for a in ABBREVIATIONS], PALETTE), key=str)
-    assert calendar.spread == (group_rows == 0)
-    assert calendar.timed_stay_apart == (times is GOOD_TIMES)
     assert rows_of(calendar.final_grid) == expected
 
 
-def test_short_and_general_way_agree(spark, monkeypatch):
-    calendar = calendar_of(spark, random_sessions(7, GOOD_TIMES), random_specials(7))
-    short = rows_of(calendar.final_grid)
-    monkeypatch.setattr(Calendar, "timed_stay_apart", False)
-    assert rows_of(calendar.final_grid) == short
-
-
 def test_several_years_are_like_single_years(spark):
     sessions = random_sessions(8, GOOD_TIMES, start=dt.date(2023, 12, 20))
     specials = random_specials(8, start=dt.date(2023, 12, 20))
@@ -159,12 +141,12 @@ def test_runs(spark):
     assert found == [(1, 1, 2, 2), (1, 4, 5, 2), (2, 1, 2, 2), (2, 3, 5, 3), (5, 1, 5, 5)]
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_cells_do_not_move_past_a_merged_cell(spark, monkeypatch, spread):
-    monkeypatch.setattr("daygrid.operators.ranking.BLOCK_ROWS", 2)
+@pytest.mark.parametrize("block", [2, 3, 100])
+def test_cells_do_not_move_past_a_merged_cell(spark, monkeypatch, block):
+    monkeypatch.setattr("daygrid.operators.ranking.BLOCK_ROWS", block)
     cells = cells_of(spark, {2: ["x-[1]"] + [None] * 4, 3: ["S-[1]", "S-[1]"] + [None] * 3,
                              5: ["y-[1]"] + [None] * 4})
-    moved = layout.compact(layout.decode(layout.mark_spans(cells)), spread)
+    moved = layout.compact(layout.decode(layout.mark_spans(cells)))
     assert sorted((r.dow, r.text, r.new_pos) for r in moved.collect()) == [
         (1, "S", 3), (1, "x", 1), (1, "y", 4), (2, "S", 3)
     ]

@@ -19,39 +19,32 @@ def rows(spark):
     return spark.createDataFrame(list(made), "k string, a int, b int").cache()
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_row_numbers(rows, spread):
-    window = W.partitionBy("k").orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last())
-    expected = rows.withColumn("n", F.row_number().over(window))
-    found = ranking.row_numbers(rows, ["k"], ["a", "b"], "n", spread)
+def test_row_numbers(rows):
+    order = [F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last()]
+    expected = rows.withColumns(
+        {
+            "n": F.row_number().over(W.partitionBy("k").orderBy(*order)),
+            "m": F.row_number().over(W.partitionBy("k", "a").orderBy(*order)),
+        }
+    )
+    pieces = [F.col("a"), F.floor(F.col("b") / 50)]
+    found = ranking.row_numbers(rows, {"n": ["k"], "m": ["k", "a"]}, ["a", "b"], pieces)
     assert found.columns == expected.columns
     assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
 
 
-def test_pieces_of_a_hot_group_are_small(rows, spark):
-    ranged = rows.repartitionByRange(8, "k", "a", "b").withColumn("p", F.spark_partition_id())
-    assert ranking.largest_group(ranged, ["k", "p"]) < ranking.largest_group(rows, ["k"]) / 2
+def test_no_window_sorts_a_whole_group(rows):
+    found = ranking.row_numbers(rows, {"n": ["k"]}, ["a", "b"], [F.col("a")])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
+    assert sorts and all("[_piece" in line for line in sorts)
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_dense_numbers(rows, spread):
+def test_dense_numbers(rows, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK_ROWS", 50)
     filled = rows.na.fill({"k": "none", "b": -1})
     expected = filled.withColumn("n", F.dense_rank().over(W.partitionBy("k").orderBy("b")))
-    found = ranking.dense_numbers(filled, ["k"], "b", "n", spread).select(*expected.columns)
-    assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
-
-
-@pytest.mark.parametrize("spread", [False, True])
-def test_running(rows, spread, monkeypatch):
-    monkeypatch.setattr(ranking, "BLOCK_ROWS", 50)
-    placed = ranking.row_numbers(rows.na.fill({"k": "none"}), ["k"], ["a", "b"], "n", False)
-    window = W.partitionBy("k").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
-    expected = placed.withColumns(
-        {"s": F.coalesce(F.sum("b").over(window), F.lit(0)), "m": F.max("b").over(window)}
-    )
-    found = ranking.running(
-        placed, ["k"], "n", {"s": ("sum", F.coalesce("b", F.lit(0))), "m": ("max", F.col("b"))}, spread
-    ).select(*expected.columns)
+    found = ranking.dense_numbers(filled, ["k"], "b", "n").select(*expected.columns)
     assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
 
 
