@@ -11,7 +11,6 @@ from daygrid.functions.text import cell_role, is_blank, starts_with_digit, tag_a
 from daygrid.operators.months import PAD, WORKDAYS
 from daygrid.operators.ranking import block_of, dense_numbers, row_numbers
 from daygrid.operators.slots import TIMED_ROW_NUM, WEEK_KEYS
-from daygrid.plans.staging import stage
 
 DAY_KEYS = ("calendar_id", "session_date")
 BLOCK_KEYS = ("calendar_id", "year", "month", "week")
@@ -221,9 +220,8 @@ def day_rows(day_grid: DataFrame) -> DataFrame:
 def number_rows(rows: DataFrame) -> DataFrame:
     """Adds ``grid_row``, the number of a row within its month, by week and position.
 
-    The rows are staged, because a week's blocks of positions are counted before
-    rows are numbered.
+    ``rows`` are read twice, to count a week's blocks of positions and to number rows.
     """
     month = ("calendar_id", "year", "month")
     pieces = [F.col("week"), block_of("pos")]
-    return row_numbers(stage(rows, "rows"), {"grid_row": month}, ["week", "pos"], pieces).drop("pos")
+    return row_numbers(rows, {"grid_row": month}, ["week", "pos"], pieces).drop("pos")

@@ -12,7 +12,7 @@ from daygrid.functions.dates import rows_of_year
 from daygrid.functions.text import Abbreviation, is_blank, starts_with_digit
 from daygrid.operators import layout, months, slots, wording
 from daygrid.operators.items import calendar_items
-from daygrid.plans.staging import stage
+from daygrid.plans.staging import drop_staged, stage
 from daygrid.sources.dimensions import Rule, special_days
 
 
@@ -21,9 +21,12 @@ class Calendar:
 
     The items are staged once, because banners and timed items are read apart. So are
     the week slots, the banners of the grid and its rows; a property that builds on one
-    of these writes it first.
+    of these writes it first, `prepare` writes all but the rows. `close`, or leaving a
+    ``with`` block, deletes what this calendar staged.
     """
 
+    _STAGED = ("items", "week_slots", "marked_banners", "moved_banners")
+
     def __init__(
         self,
         sessions: DataFrame,
@@ -33,6 +36,8 @@ class Calendar:
         abbreviations: Sequence[Abbreviation] = (),
         palette: Mapping[str, str] | None = None,
         year: int | None = None,
+        presiding: DataFrame | None = None,
+        templates: Mapping[str, str] = months.TITLE_TEMPLATES,
     ):
         self.sessions = rows_of_year(sessions, year)
         self.officers = officers
@@ -40,6 +45,30 @@ class Calendar:
         self.special_days = special_days(specials, year)
         self.abbreviations = abbreviations
         self.palette = palette or {"Black": "FF000000"}
+        self.presiding = presiding
+        self.templates = templates
+        self._paths: list[str] = []
+
+    def _stage(self, frame: DataFrame, label: str) -> DataFrame:
+        return stage(frame, label, self._paths)
+
+    def prepare(self) -> Calendar:
+        """Runs the jobs that the results build on."""
+        for name in self._STAGED:
+            getattr(self, name)
+        return self
+
+    def close(self) -> None:
+        """Deletes the staged tables; call it once the results are written."""
+        for name in self._STAGED:
+            self.__dict__.pop(name, None)
+        drop_staged(self.sessions.sparkSession, self._paths)
+
+    def __enter__(self) -> Calendar:
+        return self.prepare()
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     @property
     def unstaged_items(self) -> DataFrame:
@@ -47,7 +76,7 @@ class Calendar:
 
     @cached_property
     def items(self) -> DataFrame:
-        return stage(self.unstaged_items, "items")
+        return self._stage(self.unstaged_items, "items")
 
     @property
     def dated(self) -> DataFrame:
@@ -59,13 +88,20 @@ class Calendar:
     def years(self) -> DataFrame:
         return months.calendar_years(self.dated)
 
+    @property
+    def month_titles(self) -> DataFrame:
+        """Sheet name, title and subtitle of each month; needs the presiding officers."""
+        if self.presiding is None:
+            raise ValueError("month titles need the presiding officers")
+        return months.month_titles(self.years, self.presiding, self.templates)
+
     @property
     def unstaged_week_slots(self) -> DataFrame:
         return slots.week_slots(self.items)
 
     @cached_property
     def week_slots(self) -> DataFrame:
-        return stage(self.unstaged_week_slots, "slots")
+        return self._stage(self.unstaged_week_slots, "slots")
 
     @property
     def date_spine(self) -> DataFrame:
@@ -122,11 +158,11 @@ class Calendar:
     @cached_property
     def marked_banners(self) -> DataFrame:
         """Decoded banner cells and their runs of equal neighbours."""
-        return stage(layout.decode(layout.mark_spans(self.banner_cells)), "cells")
+        return self._stage(layout.decode(layout.mark_spans(self.banner_cells)), "cells")
 
     @cached_property
     def moved_banners(self) -> DataFrame:
-        return stage(layout.compact(self.marked_banners), "banners")
+        return self._stage(layout.compact(self.marked_banners), "banners")
 
     @property
     def timed_cells(self) -> DataFrame:
@@ -190,7 +226,7 @@ class Calendar:
         """Day-number rows and item rows of every month, numbered from its top."""
         body = layout.wide_rows(self.compacted_cells)
         heads = layout.day_rows(months.month_day_grid(months.calendar_years(self.items)))
-        return layout.number_rows(heads.unionByName(body))
+        return layout.number_rows(self._stage(heads.unionByName(body), "rows"))
 
 
 def _cell_columns(cells: DataFrame, *more: str) -> DataFrame:

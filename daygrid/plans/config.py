@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
 
+from daygrid.operators.months import TITLE_TEMPLATES
 from daygrid.plans.calendar import Calendar
 from daygrid.sources import dimensions
 
@@ -16,14 +17,23 @@ def calendar_from_config(
     sessions: DataFrame, config: Mapping[str, Any], year: int | None = None, **options
 ) -> Calendar:
     """Lists of records under ``officers``, ``rules``, ``specials``, ``abbreviations`` and
-    ``colors``. A ``calendar_year`` in the document, unless null, overrides ``year``."""
+    ``colors``, and where month titles are wanted, the officers who preside under
+    ``presiding`` and templates under ``titles``. A ``calendar_year`` in the document,
+    unless null, overrides ``year``."""
     spark = sessions.sparkSession
+
+    def officers(records: Sequence[Mapping[str, Any]]) -> DataFrame:
+        names = "name officer_code color seq"
+        return dimensions.officers(spark, [_fields(record, names) for record in records])
+
+    others, presiding = officers(config["officers"]), None
+    if config.get("presiding"):
+        presiding = officers(config["presiding"])
+        others = dimensions.all_officers(presiding, others)
     named_year = config.get("calendar_year")
     return Calendar(
         sessions,
-        dimensions.officers(
-            spark, [_fields(o, "name officer_code color seq") for o in config["officers"]]
-        ),
+        others,
         dimensions.rules_of(config["rules"]),
         dimensions.specials(
             spark,
@@ -39,6 +49,8 @@ def calendar_from_config(
         dimensions.abbreviations_of(config["abbreviations"]),
         dimensions.palette_of([_fields(c, "color_name argb") for c in config["colors"]]),
         year=year if named_year is None else named_year,
+        presiding=presiding,
+        templates={**TITLE_TEMPLATES, **(config.get("titles") or {})},
         **options,
     )
 

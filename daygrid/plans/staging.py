@@ -29,23 +29,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch.name
 
 
-def new_scratch_path(spark: SparkSession, label: str) -> str:
+def new_scratch_path(spark: SparkSession, label: str, owned: list[str] | None = None) -> str:
+    """A new path below the scratch folder, noted in ``owned`` or for ``drop_staged``."""
     path = f"{scratch_dir(spark)}/daygrid/{label}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    (_staged if owned is None else owned).append(path)
     return path
 
 
-def stage(frame: DataFrame, label: str) -> DataFrame:
+def stage(frame: DataFrame, label: str, owned: list[str] | None = None) -> DataFrame:
     """Writes ``frame`` once and returns the written table."""
-    path = new_scratch_path(frame.sparkSession, label)
+    path = new_scratch_path(frame.sparkSession, label, owned)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Deletes what this process staged; call it once the results are written."""
+def drop_staged(spark: SparkSession, owned: list[str] | None = None) -> None:
+    """Deletes what is noted in ``owned``, or what this process staged without an owner;
+    call it once the results are written."""
+    paths = _staged if owned is None else owned
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)

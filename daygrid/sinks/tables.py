@@ -11,9 +11,11 @@ def register(frame: DataFrame, name: str) -> None:
     frame.createOrReplaceTempView(name)
 
 
-def replace_table(frame: DataFrame, name: str) -> None:
-    """Writes a managed table, dropping an earlier one; safe to run again."""
-    frame.write.mode("overwrite").saveAsTable(name)
+def replace_table(frame: DataFrame, name: str, path: str | None = None) -> None:
+    """Writes a table, dropping an earlier one; safe to run again. With ``path`` its files
+    lie there, else in the warehouse."""
+    writer = frame.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_months(grid: DataFrame, path: str, file_format: str = "parquet") -> None:

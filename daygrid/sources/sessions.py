@@ -25,7 +25,7 @@ CSV_SCHEMA = (
 
 def read_sessions_csv(spark: SparkSession, path: str, calendar_id: str | None = None) -> DataFrame:
     """Headerless quoted extract. It has no room code; without ``calendar_id`` the
-    calendar name of each line is its calendar."""
+    calendar name of each line is its calendar. An empty field is null."""
     lines = spark.read.csv(path, schema=CSV_SCHEMA, header=False, quote='"', escape='"')
     return lines.select(
         (F.lit(calendar_id) if calendar_id else F.col("calendar_name")).alias("calendar_id"),

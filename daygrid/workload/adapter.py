@@ -66,6 +66,7 @@ REGION_COLORS = {
 
 # The officers of this region preside; their numbers have gaps.
 PRESIDING_REGION = "AMERICA"
+UNREADABLE_TIME = "0 AM"
 
 # Ranges, single dates, a duplicate, a weekend, null colours, a range that ends
 # before it begins, and one name with two orders in a week.
@@ -104,22 +105,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of the events. Some have no start time, an empty one or one that can't be
+    read; those of the last kind have equal texts, so that neighbours of a week may merge."""
     user = F.col("user_id")
     room = user % 7
+    odd = F.col("event_id") % 40
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("C"), user % 4).alias("calendar_id"),
         F.to_date("ts").alias("session_date"),
-        F.concat_ws(
-            ":",
-            F.lpad(F.hour("ts").cast("string"), 2, "0"),
-            F.lpad(F.minute("ts").cast("string"), 2, "0"),
-        ).alias("start_time"),
-        F.concat(
-            F.when(F.col("event_id") % 2 == 0, "(ABC) ").otherwise("(ABC-X) "),
-            F.col("event_type"),
-            F.lit(" - "),
-            F.regexp_extract("props", "[0-9]+", 0),
-        ).alias("description"),
+        F.when(odd == 1, F.lit(None))
+        .when(odd == 2, "")
+        .when(odd.isin(3, 4), UNREADABLE_TIME)
+        .otherwise(
+            F.concat_ws(
+                ":",
+                F.lpad(F.hour("ts").cast("string"), 2, "0"),
+                F.lpad(F.minute("ts").cast("string"), 2, "0"),
+            )
+        )
+        .alias("start_time"),
+        F.when(odd.isin(3, 4), "STANDBY")
+        .otherwise(
+            F.concat(
+                F.when(F.col("event_id") % 2 == 0, "(ABC) ").otherwise("(ABC-X) "),
+                F.col("event_type"),
+                F.lit(" - "),
+                F.regexp_extract("props", "[0-9]+", 0),
+            )
+        )
+        .alias("description"),
         F.when(room != 6, room.cast("string")).alias("room_code"),
         F.concat(F.lit("N"), F.lpad((user % 30).cast("string"), 2, "0")).alias("officer_code"),
     )
@@ -183,5 +197,6 @@ def calendar(spark: SparkSession, sf_dir: str, **options) -> Calendar:
         specials(spark, sf_dir),
         ABBREVIATIONS,
         PALETTE,
+        presiding=presiding(spark, sf_dir),
         **options,
     )

@@ -54,9 +54,12 @@ PARTS: dict[str, str] = {
     "sessions": """
         SELECT 'C' || (user_id % 4) AS calendar_id,
                CAST(ts AS DATE) AS session_date,
-               strftime(ts, '%H:%M') AS start_time,
-               CASE WHEN event_id % 2 = 0 THEN '(ABC) ' ELSE '(ABC-X) ' END
-                 || event_type || ' - ' || regexp_extract(props, '([0-9]+)', 1) AS description,
+               CASE event_id % 40 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '0 AM'
+                    WHEN 4 THEN '0 AM' ELSE strftime(ts, '%H:%M') END AS start_time,
+               CASE WHEN event_id % 40 IN (3, 4) THEN 'STANDBY'
+                    ELSE CASE WHEN event_id % 2 = 0 THEN '(ABC) ' ELSE '(ABC-X) ' END
+                      || event_type || ' - ' || regexp_extract(props, '([0-9]+)', 1)
+               END AS description,
                CASE WHEN user_id % 7 <> 6 THEN CAST(user_id % 7 AS VARCHAR) END AS room_code,
                'N' || lpad(CAST(user_id % 30 AS VARCHAR), 2, '0') AS officer_code
         FROM events""",
@@ -378,8 +381,10 @@ ORACLE: dict[str, str] = {
         "compacted",
     ),
     "final_grid": statement("SELECT * FROM sheet", "sheet"),
+    "month_files_roundtrip": statement("SELECT * FROM sheet", "sheet"),
+    "replaced_table_roundtrip": statement("SELECT * FROM slots", "slots"),
     "csv_sessions": statement(
-        """SELECT calendar_id, session_date, start_time, description,
+        """SELECT calendar_id, session_date, nullif(start_time, '') AS start_time, description,
                   CAST(NULL AS VARCHAR) AS room_code, officer_code FROM sessions""",
         "sessions",
     ),

@@ -12,6 +12,7 @@ from daygrid.functions.text import abbreviate
 from daygrid.operators import checks, items, layout, months, wording
 from daygrid.operators.slots import in_order
 from daygrid.plans.staging import new_scratch_path
+from daygrid.sinks.tables import register, replace_table, write_months
 from daygrid.sources.dimensions import special_days as special_days_of
 from daygrid.sources.sessions import read_sessions_csv
 from daygrid.workload import adapter
@@ -126,7 +127,7 @@ def unknown_colors(spark, sf_dir):
 
 @query
 def month_titles(spark, sf_dir):
-    return months.month_titles(calendar(spark, sf_dir).years, adapter.presiding(spark, sf_dir))
+    return calendar(spark, sf_dir).month_titles
 
 
 @query
@@ -161,6 +162,26 @@ def final_grid(spark, sf_dir):
     return calendar(spark, sf_dir).final_grid
 
 
+@query
+def month_files_roundtrip(spark, sf_dir):
+    """The grid from its month folders."""
+    path = new_scratch_path(spark, "months")
+    grid = calendar(spark, sf_dir).final_grid
+    write_months(grid, path)
+    return spark.read.schema(grid.schema).parquet(path)
+
+
+@query
+def replaced_table_roundtrip(spark, sf_dir):
+    """Week slots from a table that replaced one of another form, through a view."""
+    path = new_scratch_path(spark, "tables")
+    plan = calendar(spark, sf_dir)
+    replace_table(plan.date_spine, "daygrid_replaced", f"{path}/first")
+    replace_table(plan.unstaged_week_slots.drop("slot_pos"), "daygrid_replaced", f"{path}/second")
+    register(spark.table("daygrid_replaced"), "daygrid_replaced_view")
+    return spark.sql("SELECT * FROM daygrid_replaced_view")
+
+
 @query
 def csv_sessions(spark, sf_dir):
     """Round trip through a headerless extract in the shared scratch folder."""

@@ -196,6 +196,8 @@ def test_calendar_from_a_document_is_written_by_month(spark, tmp_path):
         ],
         "abbreviations": [{"phrase": "call", "abbrev": "C"}, {"phrase": "\\.", "abbrev": None, "skip": True}],
         "colors": [{"color_name": n, "argb": a} for n, a in PALETTE.items()],
+        "presiding": [{"name": n, "officer_code": n, "color": "Red", "seq": i} for n, i in (("P", 2), ("Q", 7))],
+        "titles": {"title": "${calendar_month_name}$ of ${calendar_year}$"},
     }
     rows = [("X", dt.date(2025, 1, 7), "09:00", "(AAA) Call", "1", "AAA"),
             ("X", dt.date(2024, 1, 7), "09:00", "(AAA) Call", "1", "AAA")]
@@ -209,3 +211,22 @@ def test_calendar_from_a_document_is_written_by_month(spark, tmp_path):
     assert [(r.wed, r.wed_span, r.thu, r.tue, r.tue_role) for r in january] == [
         ("BREAK", 2, None, None, None), (None, None, None, "9:00 C (A)", "timed")
     ]
+    titles = calendar.month_titles.orderBy("month").collect()
+    assert [(r.title, r.presiding) for r in titles[:3]] == [
+        ("January of 2025", "P"), ("February of 2025", "Q"), ("March of 2025", "P")
+    ]
+    assert titles[0].subtitle == "Presiding: P" and len(titles) == 12
+    assert calendar.officers.count() == 3
+
+
+def test_closing_deletes_what_a_calendar_staged(spark, tmp_path, monkeypatch):
+    scratch = tmp_path / "shared"
+    monkeypatch.setattr("daygrid.plans.staging.scratch_dir", lambda _: str(scratch))
+    other = calendar_of(spark, random_sessions(2, GOOD_TIMES), random_specials(2)).prepare()
+    with calendar_of(spark, random_sessions(1, GOOD_TIMES), random_specials(1)) as calendar:
+        first = rows_of(calendar.final_grid)
+    assert len(list((scratch / "daygrid").iterdir())) == 4
+    assert other.items.count() and rows_of(calendar.final_grid) == first
+    other.close()
+    calendar.close()
+    assert not list((scratch / "daygrid").iterdir())
