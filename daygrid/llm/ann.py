@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from daygrid.llm.vectors import matrix, usable_rows
 
 #: Projections, each with an array sorted by its values.
-PROJECTIONS = 32
+PROJECTIONS = 64
 #: First half-width of a query's window in units of the data's scale, and its growth by round.
 WIDTH, GROWTH = 0.7, 1.2
 #: Share of the projections whose windows must hold a vector before it is verified.
-COLLISIONS = 0.62
+COLLISIONS = 0.7
 #: A block's search ends once this share of its vectors, and no fewer than k, was verified.
 VERIFIED = 0.4
 #: Vectors and queries of a block.
@@ -29,6 +29,28 @@ def _lifted(x: np.ndarray, bound: float) -> np.ndarray:
     return np.hstack([x, rest[:, None]])
 
 
+def _projections(rng: np.random.Generator, width: int) -> np.ndarray:
+    """Random directions, orthogonal as far as the width allows, so that each counts for itself."""
+    made = [np.linalg.qr(rng.standard_normal((width, width)))[0] for _ in range(-(-PROJECTIONS // width))]
+    return np.hstack(made)[:, :PROJECTIONS] * np.sqrt(width)
+
+
+def _inner_products(points: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that may be among the k nearest, and their inner products.
+
+    A matrix product's rounding depends on a row's place, so equal vectors could differ in it.
+    It only sorts out rows that are clearly farther; the sums that are returned don't depend
+    on the place.
+    """
+    rows = np.arange(len(points))
+    if len(points) > k:
+        rough = points @ query
+        slack = 1e-9 * (np.abs(points) @ np.abs(query)).max()
+        least = np.partition(rough, len(rough) - k)[len(rough) - k]
+        rows = rows[~(rough < least - slack)]
+    return rows, (points[rows] * query).sum(axis=1)
+
+
 def collision_candidates(
     points: np.ndarray, queries: np.ndarray, k: int, seed: int = 5
 ) -> Iterator[np.ndarray]:
@@ -44,7 +66,7 @@ def collision_candidates(
     bound = np.sqrt((points * points).sum(axis=1).max())
     norms = np.linalg.norm(queries, axis=1, keepdims=True)
     aimed = queries / np.where(norms > 0, norms, 1) * bound  # a query's length changes no order
-    lines = rng.standard_normal((width + 1, PROJECTIONS))
+    lines = _projections(rng, width + 1)
     values = _lifted(points, bound) @ lines
     order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
     sorted_values = np.take_along_axis(values, order, axis=0)
@@ -96,7 +118,8 @@ def _search(k: int):
                     asked["vec_id"], asked["row"], queries, found, strict=True
                 ):
                     near = near[own_rows[near] != query_row]
-                    scores = points[near] @ query
+                    close, scores = _inner_products(points[near], query, k)
+                    near = near[close]
                     best = np.lexsort((own_ids[near], -scores))[:k]
                     count = len(best)
                     out.append(

@@ -164,6 +164,35 @@ def test_neighbours_reach_recall(spark, vectors, monkeypatch):
     assert hits / (20 * len(got)) >= 0.9
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_neighbour_query_reaches_recall(spark, sf):
+    sf_dir = f"/root/testdata/sf{sf}"
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float)
+    found = {}
+    for row in REGISTRY["op7_neighbours"](spark, sf_dir).collect():
+        found.setdefault(row.query_id, []).append(row.score)
+    asked = np.nonzero(ids % 20 == 0)[0]
+    assert set(found) == set(ids[asked].tolist())
+    hits = 0
+    for q in asked:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += sum(np.array(found[ids[q]]) >= np.sort(scores)[-20] - 1e-12)
+    assert hits / (20 * len(asked)) >= 0.95
+
+
+def test_equal_vectors_have_equal_products():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((501, 61))
+    x[rng.permutation(501)[:200]] = x[3]
+    rows, products = ann._inner_products(x, x[5], 250)
+    same = (x[rows] == x[3]).all(axis=1)
+    assert same.sum() in (0, (x == x[3]).all(axis=1).sum()) and len(set(products[same])) <= 1
+    best = np.argsort(-(x @ x[5]), kind="stable")[:20]
+    assert set(best) <= set(rows.tolist())
+
+
 def test_neighbours_of_hard_rows(spark, vectors):
     few = vectors.where("vec_id >= 2000 or vec_id is null or vec_id in (0, 3, 20)")
     rows = ann.nearest(few).collect()
