@@ -14,12 +14,12 @@ from daygrid.llm.vectors import matrix, usable_rows
 #: Projections, each with an array sorted by its values.
 PROJECTIONS = 64
 #: First half-width of a query's window in units of the data's scale, and its growth by round.
-WIDTH, GROWTH = 0.7, 1.2
+WIDTH, GROWTH = 0.9, 1.15
 #: Share of the projections whose windows must hold a vector before it is verified.
-COLLISIONS = 0.7
+COLLISIONS = 0.75
 #: A block's search ends once this share of its vectors, and no fewer than k, was verified.
-VERIFIED = 0.4
-#: Vectors and queries of a block.
+VERIFIED = 0.3
+#: Vectors and queries of a block; places in a block of vectors are 16-bit numbers.
 BLOCK, QUERIES = 8_192, 1_024
 
 
@@ -35,17 +35,19 @@ def _projections(rng: np.random.Generator, width: int) -> np.ndarray:
     return np.hstack(made)[:, :PROJECTIONS] * np.sqrt(width)
 
 
-def _inner_products(points: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _inner_products(
+    points: np.ndarray, query: np.ndarray, k: int, longest: float
+) -> tuple[np.ndarray, np.ndarray]:
     """Rows that may be among the k nearest, and their inner products.
 
     A matrix product's rounding depends on a row's place, so equal vectors could differ in it.
     It only sorts out rows that are clearly farther; the sums that are returned don't depend
-    on the place.
+    on the place. No row is longer than ``longest``.
     """
     rows = np.arange(len(points))
     if len(points) > k:
         rough = points @ query
-        slack = 1e-9 * (np.abs(points) @ np.abs(query)).max()
+        slack = 1e-9 * longest * np.linalg.norm(query)
         least = np.partition(rough, len(rough) - k)[len(rough) - k]
         rows = rows[~(rough < least - slack)]
     return rows, (points[rows] * query).sum(axis=1)
@@ -57,7 +59,7 @@ def collision_candidates(
     """For each query the rows of ``points`` that collide often enough to be verified.
 
     A window around the query's value grows in every sorted array by virtual rehashing; a
-    vector's collisions are the windows that hold it.
+    vector's collisions are the windows that hold its place in the sorted arrays.
     """
     rng = np.random.default_rng(seed)
     n, width = points.shape
@@ -70,34 +72,34 @@ def collision_candidates(
     values = _lifted(points, bound) @ lines
     order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
     sorted_values = np.take_along_axis(values, order, axis=0)
-    arrays = [(np.ascontiguousarray(sorted_values[:, p]), np.ascontiguousarray(order[:, p])) for p in range(PROJECTIONS)]
+    arrays = np.ascontiguousarray(sorted_values.T)
+    places = np.empty((PROJECTIONS, n), dtype=np.uint16)  # of every vector in every sorted array
+    np.put_along_axis(places, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
     centres = np.hstack([aimed, np.zeros((len(aimed), 1))]) @ lines
     needed, enough = COLLISIONS * PROJECTIONS, min(n, max(k, int(np.ceil(VERIFIED * n))))
     radius = WIDTH * (bound or 1.0)
     limits = []
     while True:
         half = radius * GROWTH ** len(limits)
-        ends = [
-            (np.searchsorted(s, centres[:, p] - half), np.searchsorted(s, centres[:, p] + half, "right"))
-            for p, (s, _) in enumerate(arrays)
-        ]
-        limits.append(ends)
-        if all((lo == 0).all() and (hi == n).all() for lo, hi in ends):
+        low = [np.searchsorted(a, centres[:, p] - half) for p, a in enumerate(arrays)]
+        high = [np.searchsorted(a, centres[:, p] + half, "right") for p, a in enumerate(arrays)]
+        begin, size = np.array(low), np.array(high) - np.array(low)
+        limits.append((begin.astype(np.uint16), size.astype(np.uint16)))
+        if (size == n).all():
             break
     for q in range(len(queries)):
-        counts = np.zeros(n, dtype=np.int64)
-        before = [(0, 0)] * PROJECTIONS
-        for ends in limits:
-            now = [(int(lo[q]), int(hi[q])) for lo, hi in ends]
-            # Only what a grown window has at its two ends is new.
-            grown = []
-            for (a, b), (lo, hi), (_, rows) in zip(before, now, arrays, strict=True):
-                grown += [rows[lo:hi]] if a == b else [rows[lo:a], rows[b:hi]]
-            counts += np.bincount(np.concatenate(grown), minlength=n)
-            before = now
-            found = np.nonzero(counts >= needed)[0]
-            if len(found) >= enough:
-                break
+        # Collisions only grow with the windows, so halving finds the first round with enough.
+        low, high, found = 0, len(limits) - 1, None
+        while low < high or found is None:
+            middle = (low + high) // 2
+            begin, size = limits[middle]
+            # Places before a window wrap around to large numbers, so one comparison is enough.
+            inside = places - begin[:, q, None] < size[:, q, None]
+            near = np.nonzero(np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8) >= needed)[0]
+            if len(near) >= enough or low == high:
+                high, found = middle, near
+            else:
+                low = middle + 1
         yield found
 
 
@@ -113,12 +115,13 @@ def _search(k: int):
                     continue
                 points, queries = matrix(left["v"][here]), matrix(asked["v"])
                 own_ids, own_rows = ids[here], rows[here]
+                longest = np.linalg.norm(points, axis=1).max()
                 found = collision_candidates(points, queries, k + 1)
                 for query_id, query_row, query, near in zip(
                     asked["vec_id"], asked["row"], queries, found, strict=True
                 ):
                     near = near[own_rows[near] != query_row]
-                    close, scores = _inner_products(points[near], query, k)
+                    close, scores = _inner_products(points[near], query, k, longest)
                     near = near[close]
                     best = np.lexsort((own_ids[near], -scores))[:k]
                     count = len(best)

@@ -186,7 +186,7 @@ def test_equal_vectors_have_equal_products():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((501, 61))
     x[rng.permutation(501)[:200]] = x[3]
-    rows, products = ann._inner_products(x, x[5], 250)
+    rows, products = ann._inner_products(x, x[5], 250, np.linalg.norm(x, axis=1).max())
     same = (x[rows] == x[3]).all(axis=1)
     assert same.sum() in (0, (x == x[3]).all(axis=1).sum()) and len(set(products[same])) <= 1
     best = np.argsort(-(x @ x[5]), kind="stable")[:20]
