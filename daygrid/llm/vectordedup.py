@@ -19,8 +19,9 @@ SAMPLE = 20_000
 #: Vectors for each cell, and the most cells; the centroids sent to tasks are bounded by it.
 PER_CELL = 1_000
 MOST_CELLS = 4_096
-#: A vector visits every cell whose centroid's cosine is within MARGIN of its best one.
-MARGIN = 0.2
+#: A vector visits every cell whose border is within REACH of it, half the distance of two
+#: unit vectors that just link: of two that link across a border one is that near.
+REACH = float(np.sqrt(2 - 2 * THRESHOLD)) / 2 + 1e-9
 #: Rows of a side in one product.
 BLOCK = 1_024
 ROUNDS = 8
@@ -77,7 +78,11 @@ def _assign(cells: dict[int, np.ndarray]):
                 else:
                     cosines = x @ centroids.T
                     home = cosines.argmax(axis=1)
-                    near = cosines >= cosines.max(axis=1, keepdims=True) - MARGIN
+                    apart = centroids[home] @ centroids.T
+                    square = (centroids * centroids).sum(axis=1)
+                    apart = np.sqrt(np.maximum(square[home, None] + square - 2 * apart, 0))
+                    best = cosines.max(axis=1, keepdims=True)
+                    near = best - cosines <= REACH * apart + 1e-12
                 row, cell = np.nonzero(near)
                 lists = np.split(cell, np.cumsum(near.sum(axis=1))[:-1])
                 yield pd.DataFrame(
@@ -195,8 +200,8 @@ def near_duplicates(
 
     Rows link at a cosine of THRESHOLD or more in double precision. Equal vectors are one
     class with a count, so copies are never expanded into pairs; every copy counts as a link.
-    A vector is compared within its own cell and with the visitors of it, so a pair is missed
-    only if each vector's cell is farther than MARGIN from the other's best one. Vectors that
+    A vector is compared within its own cell and with the visitors of it, and of two that
+    link one visits the other's cell, so no pair is missed. Vectors that
     are null, zero or hold null or non-finite components, and vectors of unequal length, link
     with nothing: no links, their own id as component, kept. Cells with many vectors are
     compared in pairs of blocks, each a task of its own. A null vec_id stays null and is

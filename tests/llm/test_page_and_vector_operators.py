@@ -142,6 +142,17 @@ def test_vector_links_equal_brute_force(spark, vectors, monkeypatch):
     assert all((r.n_links, r.component_id, r.kept) == (0, r.vec_id, True) for r in rest)
 
 
+def test_links_across_cells_are_found(spark, monkeypatch):
+    """In the plane, where neighbours of far centroids link, as many pairs as by brute force."""
+    monkeypatch.setattr(vectordedup, "PER_CELL", 100)
+    turns = np.linspace(0, 2 * np.pi, 300, endpoint=False)
+    x = np.column_stack([np.cos(turns), np.sin(turns)])
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    linked = x @ x.T >= 0.9
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectordedup.near_duplicates(frame).collect()}
+    assert found == {i: (int(linked[i].sum()) - 1, 0) for i in range(300)}
+
+
 def test_neighbours_reach_recall(spark, vectors, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 300)
     monkeypatch.setattr(ann, "QUERIES", 20)
