@@ -17,13 +17,15 @@ THRESHOLD = 0.9
 #: Vectors that the cells are fitted on, at most. Every vector is assigned and compared.
 SAMPLE = 20_000
 #: Vectors for each cell, and the most cells; the centroids sent to tasks are bounded by it.
-PER_CELL = 1_000
+PER_CELL = 4_000
 MOST_CELLS = 4_096
 #: A vector visits every cell whose border is within REACH of it, half the distance of two
 #: unit vectors that just link: of two that link across a border one is that near.
 REACH = float(np.sqrt(2 - 2 * THRESHOLD)) / 2 + 1e-9
 #: Rows of a side in one product.
-BLOCK = 1_024
+BLOCK = 2_048
+#: Vectors assigned at a time; each may become a row for every cell.
+ASSIGNED = 1_024
 ROUNDS = 8
 
 
@@ -68,8 +70,9 @@ def _assign(cells: dict[int, np.ndarray]):
     """Rows (cid, n, v, width, home, cell, cells): one for each cell that a vector is in."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for width, part in batch.groupby(batch["v"].map(len)):
+        pieces = (b.iloc[at : at + ASSIGNED] for b in batches for at in range(0, len(b), ASSIGNED))
+        for piece in pieces:
+            for width, part in piece.groupby(piece["v"].map(len)):
                 x = _units(matrix(part["v"]))
                 centroids = cells.get(int(width))
                 if centroids is None or not len(x):
