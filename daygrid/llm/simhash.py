@@ -140,8 +140,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The row with the component's id stays; of rows that repeat that id, one does. Rows with a
     null id count as rows of their own, after all others.
     """
+    key = "__key"
+    while key in {name.lower() for name in docs.columns}:
+        key += "_"
     spare = F.lit(1 << 62) + F.monotonically_increasing_id()
-    keyed = docs.withColumn("__key", F.coalesce(F.col(f"`{id_col}`").cast("long"), spare))
-    found = near_duplicates(keyed, "__key", text_col)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__key"))
-    return keyed.join(keep, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    keyed = docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`").cast("long"), spare))
+    found = near_duplicates(keyed, key, text_col)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key))
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -145,6 +145,11 @@ def test_keep_one(spark, hard):
     assert kept.count() == found.select("component_id").distinct().count() + 1
 
 
+def test_keep_one_leaves_a_column_of_its_key_name(spark):
+    rows = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y")], "doc_id long, text string, __key string")
+    assert [tuple(r) for r in simhash.keep_one(rows).collect()] == [(1, "a b c", "x")]
+
+
 def test_components_of_paths_and_stars(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (None, 3)]
     roots = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
