@@ -20,14 +20,17 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*+>",
     re.IGNORECASE | re.DOTALL,
 )
-_NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?"
+)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"([a-z])([A-Z])")
 
-#: Elements whose text is never main text, and containers that name the main text.
-_DROPPED = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "head", "label", "header"}
+#: Elements of other matter, and containers of the main text, which count inside those too.
+_DROPPED = {"nav", "footer", "aside", "button", "dialog", "menu", "head", "label", "header"}
 _MAIN = {"article", "main"}
-#: Words in class, id or role that mark a container of other matter.
+#: Words in class, id or role that speak against a container, and those that name sections too.
 _OTHER = set(
     "ad ads advert advertisement advertising adsense banner sponsor sponsored promo promotion promoted "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer foot masthead topbar "
@@ -36,6 +39,10 @@ _OTHER = set(
     "newsletter subscribe subscription signup login search pagination pager widget toolbar "
     "complementary contentinfo header skip copyright disclaimer".split()
 )
+_AMBIGUOUS = set(
+    "side foot notice alert dialog menu navigation banner promotion advertising comment reply respond "
+    "discussion share sharing social follow related search subscription header skip".split()
+)
 _NAMED = set("article main content story post entry body".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
@@ -59,6 +66,13 @@ PRIOR_TOKENS = 200
 LIMIT = 3.0
 #: Extra weight of words in and out of an element that the page itself marks as its main one.
 IN_MAIN, OUT_OF_MAIN = 2.0, -4.0
+#: Extra weight of words in a container whose name speaks against it, outside of a main element
+#: and in one, and the share of the page's words beyond which the container is the page's own
+#: layout and its name says nothing: for names of ambiguous words, names that hold a clear one,
+#: names of such words alone, and forms.
+NAMED_OTHER = {
+    "weak": (-1.0, -2.5, 0.5), "part": (-3.5, -2.5, 0.5), "full": (-3.5, -5.5, 0.8), "form": (-3.5, -5.5, 0.5),
+}
 
 
 def _place(tag: str) -> str:
@@ -72,42 +86,108 @@ def _place(tag: str) -> str:
 
 
 def _role(tag: str, attributes: str) -> str:
-    """'x' for a container of other matter, 'm' of main text, 'n' if only its name says so."""
-    names: set[str] = set()
-    if "=" in attributes:
-        for _, *values in _NAMES.findall(attributes):
-            for value in "".join(values).split():
-                parts = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-                names.update(parts if len(parts) < 4 else ())
-    if _HIDDEN.search(attributes):
-        return "x"
-    if tag in _MAIN:
-        return "m"
+    """What an element says of its text: 'h' hidden, 'm' main text, 'n' main text by its name
+    only, 'x' other matter, a key of NAMED_OTHER if its name speaks against it, else ''."""
     if tag in ("body", "html"):
         return ""
-    if tag in _DROPPED or names & _OTHER:
+    covered, named, other = False, False, ""
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" and value.lower() != "until-found" or name == "style" and _UNSEEN.search(value):
+            return "h"
+        covered = covered or name == "aria-hidden" and value.lower() == "true"
+        if name not in ("class", "id", "role", "itemprop"):
+            continue
+        for part in value.split():
+            words = set(parts if len(parts := _WORD.findall(_CAMEL.sub(r"\1 \2", part).lower())) < 4 else ())
+            named = named or bool(words & _NAMED)
+            if found := words & _OTHER:
+                clear = name == "role" or found - _AMBIGUOUS
+                kind = ("full" if found == words else "part") if clear else "weak"
+                other = min(other or kind, kind, key=("full", "part", "weak").index)
+    if tag in _MAIN:
+        return "m"
+    if tag in _DROPPED or covered:
         return "x"
-    return "n" if names & _NAMED else ""
+    if tag == "form":
+        return "form"
+    return other or ("n" if named else "")
+
+
+class _Places:
+    """Kinds of places in a page; each is made from the one around it and an element's role."""
+
+    def __init__(self):
+        self.made: list[tuple[int, str, str]] = [(0, "", "")]
+        #: How much other matter is around a place, and around the main element it is in.
+        self.around, self.main_in = [0], [-1]
+
+    def inside(self, outer: int, tag: str, role: str) -> int:
+        if not role or role == "n" and self.main_in[outer] >= 0:
+            return outer
+        around, main_in = self.around[outer], self.main_in[outer]
+        if role == "m":
+            if main_in == around:
+                return outer  # in a main element already, with nothing between
+            main_in = around
+        elif role in NAMED_OTHER:
+            around += 1
+        elif role == "h" or role == "x" and not (tag == "header" and main_in >= 0):
+            around, main_in = around + 1_000_000, -1
+        self.made.append((outer, tag, role))
+        self.around.append(around)
+        self.main_in.append(main_in)
+        return len(self.made) - 1
+
+    def resolve(self, words: Counter) -> list[tuple[int, tuple[int, str] | None]]:
+        """(level, name that speaks against it) of every place, by the words in each.
+
+        Main elements count where the least other matter is around them, so one in a wrapper of
+        other matter counts if the page has none outside, and a teaser in a side column doesn't.
+        """
+        least = min((self.main_in[k] for k in words if self.main_in[k] >= 0), default=-1)
+        out: list[tuple[int, int]] = [(0, 0)]
+        for k, (outer, tag, role) in enumerate(self.made[1:], 1):
+            level, name = out[outer]
+            if role == "h" or level == -2:
+                level, name = -2, 0
+            elif role == "m" and self.around[k] == least:
+                level, name = 2, 0
+            elif role == "x" and not (tag == "header" and level == 2):
+                level, name = -1, 0
+            elif role == "n" and level == 0:
+                level = 1
+            elif role in NAMED_OTHER and level >= 0:
+                name = k
+            out.append((level, name))
+        held = [0] * len(out)
+        for k in range(len(out) - 1, -1, -1):
+            held[k] += words[k]
+            if k:
+                held[self.made[k][0]] += held[k]
+        total = sum(n for k, n in words.items() if out[k][0] >= 0)
+        against: list[tuple[int, str] | None] = [None]
+        for k, (outer, _, role) in enumerate(self.made[1:], 1):
+            level, name = out[k]
+            before = against[outer] if name else None
+            if name == k and held[k] <= NAMED_OTHER[role][2] * total:
+                column = 1 if level == 2 else 0
+                if before is None or NAMED_OTHER[role][column] < NAMED_OTHER[before[1]][column]:
+                    before = (k, role)
+            against.append(before)
+        return [(max(level, -1), a) for (level, _), a in zip(out, against, strict=True)]
 
 
 def tokens(html: str) -> list[tuple]:
-    """The page in order: ('w', type, text, level, block) or ('t', type, level).
+    """The page in order: ('w', type, text, level, block, name) or ('t', type, level, name).
 
     ``level`` is -1 in other matter, 2 in an element of main text, 1 in one named so, else 0.
+    ``name`` is None, or number and kind of the container around whose name speaks against it.
     """
     out: list[tuple] = []
-    stack: list[tuple[str, str]] = []
-    level, inner, links, block = 0, "div", 0, 0
-
-    def state() -> int:
-        in_main = False
-        named = False
-        for tag, role in stack:
-            if role == "x" and not (tag == "header" and in_main):
-                return -1
-            in_main = in_main or role == "m"
-            named = named or role == "n"
-        return 2 if in_main else int(named)
+    places = _Places()
+    stack: list[tuple[str, int]] = []
+    here, inner, links, block = 0, "div", 0, 0
 
     at = 0
     for found in _MARKUP.finditer(html):
@@ -115,16 +195,16 @@ def tokens(html: str) -> list[tuple]:
             text = html[at : found.start()]
             if text.strip():
                 kind = "w:link" if links else f"w:{inner}"
-                out.append(("w", kind, text, level, block))
+                out.append(("w", kind, text, here, block))
             elif out and out[-1][0] == "w":
-                out.append(("w", "", " ", level, block))
+                out.append(("w", "", " ", here, block))
         at = found.end()
         name = found[3]
         if not name:
             continue
         tag, closing = name.lower(), bool(found[2])
         if tag == "br":
-            out.append(("w", "", " ", level, block))
+            out.append(("w", "", " ", here, block))
         if tag == "a":
             links = max(0, links - 1) if closing else 1
         place = _place(tag)
@@ -143,29 +223,40 @@ def tokens(html: str) -> list[tuple]:
             elif len(stack) < 512:  # deeper nesting keeps the roles of what is open already
                 if tag in ("li", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == tag:
                     stack.pop()
-                stack.append((tag, _role(tag, found[4])))
-            level = state()
+                outer = stack[-1][1] if stack else 0
+                stack.append((tag, places.inside(outer, tag, _role(tag, found[4]))))
+            here = stack[-1][1] if stack else 0
             if closing:
-                inner = next((_place(t) for t, _ in reversed(stack)), "div")
-        elif not closing and tag not in _INLINE and tag not in _VOID and _role(tag, found[4]) == "x":
-            level = -1  # a paragraph of other matter, until the next block
+                inner = _place(stack[-1][0]) if stack else "div"
         elif tag not in _INLINE:
-            level = state()
-        out.append(("t", kind, level))
+            here = stack[-1][1] if stack else 0
+            if not closing and tag not in _VOID:  # a paragraph's role holds until the next block
+                role = _role(tag, found[4])
+                here = places.inside(here, tag, role) if role != "n" else here
+        out.append(("t", kind, here))
     if at < len(html) and html[at:].strip():
-        out.append(("w", "w:link" if links else f"w:{inner}", html[at:], level, block))
-    return out
+        out.append(("w", "w:link" if links else f"w:{inner}", html[at:], here, block))
+    words: Counter = Counter()
+    for token in out:
+        if token[0] == "w" and token[1]:
+            words[token[3]] += len(token[2].split())
+    final = places.resolve(words)
+    return [
+        (*t[:3], final[t[3]][0], t[4], final[t[3]][1]) if t[0] == "w" else (*t[:2], *final[t[2]]) for t in out
+    ]
 
 
 def labelled_counts(html: str | None) -> Counter:
     """(type, in main text) counts of a page that marks its main element; empty for others.
 
-    Other matter that names itself as such is dropped anyway and teaches nothing.
+    Other matter that names itself as such teaches nothing.
     """
     page = tokens(html or "")
     counts: Counter = Counter()
-    if any(token[-2 if token[0] == "w" else -1] == 2 for token in page):
+    if any(token[3 if token[0] == "w" else 2] == 2 for token in page):
         for token in page:
+            if token[-1] is not None:
+                continue
             if token[0] == "w" and token[1] and token[3] >= 0:
                 counts[token[1], token[3] == 2] += len(token[2].split())
             elif token[0] == "t" and token[2] >= 0:
@@ -210,8 +301,41 @@ def fit_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
 
 
 def main_text(html: str | None, weights: dict[str, float]) -> str:
-    """Blocks of the best contiguous region, joined by line breaks."""
+    """Blocks of the best contiguous region, joined by line breaks.
+
+    Names that speak against a container are weights among others: its own words and tags are
+    left out if they score nothing with it. If nothing else scores, names don't count.
+    """
     page = tokens(html or "")
+    left_out = {token[-1] for token in page if token[-1] is not None}
+    if left_out:
+        totals: Counter = Counter()
+        for token in page:
+            level = token[3 if token[0] == "w" else 2]
+            if token[-1] is not None and level >= 0 and token[1]:
+                totals[token[-1]] += _weight(token, level, 2 if level == 2 else 0, weights, True)
+        left_out = {name for name in left_out if totals[name] <= 0}
+    text = _best_region(page, weights, left_out, True)
+    return text if text or not left_out else _best_region(page, weights, set(), False)
+
+
+def _weight(token: tuple, level: int, best_level: int, weights: dict[str, float], names: bool) -> float:
+    word = token[0] == "w"
+    weight = weights.get(token[1], -0.3)
+    named = token[-1] if names else None
+    if best_level == 2:
+        weight = weight + IN_MAIN if level == 2 and word else weight + OUT_OF_MAIN * word
+        if named is None:
+            weight = max(weight, 0.5) if level == 2 and word else weight
+        weight = max(weight, -0.2) if level == 2 and not word else weight
+    if word:
+        if named is not None:
+            weight += NAMED_OTHER[named[1]][1 if level == 2 else 0]
+        weight *= len(token[2].split())
+    return weight
+
+
+def _best_region(page: list[tuple], weights: dict[str, float], left_out: set, names: bool) -> str:
     levels = {token[3] for token in page if token[0] == "w" and token[1]}
     best_level = 2 if 2 in levels else 0
     best, best_from, best_to = 0.0, 0, 0
@@ -221,15 +345,10 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
         if word and not token[1]:
             continue
         level = token[3] if word else token[2]
-        if level < 0:
+        if level < 0 or token[-1] in left_out:
             continue  # other matter is left out below and neither joins nor parts a region
-        weight = weights.get(token[1], -0.3)
-        if best_level == 2:
-            weight = weight + IN_MAIN if level == 2 and word else weight + OUT_OF_MAIN * word
-            weight = max(weight, 0.5) if level == 2 and word else weight
-            weight = max(weight, -0.2) if level == 2 and not word else weight
-        if word:
-            weight *= len(token[2].split())
+        # What a main element holds and isn't left out is a part of it like any other.
+        weight = _weight(token, level, best_level, weights, names and level != 2)
         if score <= 0:
             score, begin = 0.0, k
         score += weight
@@ -239,7 +358,7 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
     parts: list[str] = []
     last = None
     for token in page[best_from:best_to]:
-        if token[0] != "w" or token[3] < 0:
+        if token[0] != "w" or token[3] < 0 or token[-1] in left_out:
             continue
         if token[4] != last:
             blocks.append("".join(parts))

@@ -48,6 +48,32 @@ def test_main_text_leaves_other_matter_out():
     assert text == "The title\nFirst & best words here again.\nOne\nTwo\nLast words"
 
 
+def test_main_text_in_elements_whose_names_speak_against_it():
+    words = "<p>Some words of a long paragraph that the page is about.</p>"
+    line = "Some words of a long paragraph that the page is about."
+    weights = dict(pages.PRIOR)
+    menu = "<div class=sidebar><p>Words of the side column that belong to no text.</p></div>"
+    for page in (
+        f'<body class="overflow-hidden">{words}',
+        f'<body style="display:none" hidden>{words}',
+        f'<main class="overflow-hidden">{words}</main>{menu}',
+        f'<article id="hidden-figures" data-x="hidden">{words}</article>',
+        f'<div class="layout with-sidebar"><article>{words}</article>{menu}</div>',
+        f'<div class="page header-fixed"><article>{words}</article></div><footer>us</footer>',
+        f'<div class="layout with-sidebar">{words}</div><div class=footer><p>All rights</p></div>',
+        f"<form action=/><aside><main>{words}</main></aside></form><p>All rights</p>",
+        f"<form action=/>{words}</form>",
+        f'<div class="page"><article>{words}</article></div><div class=related><article>{menu}</article></div>',
+        f'<div class="with-sidebar"><article>{words}</article><aside><article><p>Read that</p></article></aside></div>',
+        f"<article>{words}<div class='ad'>Buy now, all of it must go</div></article>",
+        f"<article>{words}<div hidden><p>Not to be seen</p></div><p style='display: none'>Nor this</p></article>",
+    ):
+        assert pages.main_text(page, weights) == line, page
+    for name in ("id=discussion", 'id="social-media-study"', 'class="search"'):
+        page = f"<article>{words}<section {name}><h2>More</h2>{words}</section>{words}</article>"
+        assert pages.main_text(page, weights) == f"{line}\nMore\n{line}\n{line}", page
+
+
 def test_main_text_of_hard_pages(spark):
     rows = [(1, None, None, "x"), (2, "u", "", "x"), (None, "u", "just words", None), (4, "u", "<p" * 2000, "")]
     rows += [(5, "u", "<div>" * 3000 + "<p>deep words</p>", "x"), (6, "u", "<p title='a>b' x=\">\">one</p" , "x")]
