@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from html import unescape
 from math import log
 
@@ -54,6 +55,15 @@ _CONTAINERS = set(
     "dd dt figure figcaption blockquote pre details summary fieldset button dialog menu head body html "
     "center address hgroup label".split()
 )
+#: What an opening tag closes where end tags are left out, and up to where.
+_CELLS, _ROWS = ("td", "th"), ("td", "th", "tr")
+_SECTIONS = (*_ROWS, "thead", "tbody", "tfoot")
+_CLOSES = {
+    "td": (_CELLS, ("table", "tr")), "th": (_CELLS, ("table", "tr")), "tr": (_ROWS, ("table",)),
+    "thead": (_SECTIONS, ("table",)), "tbody": (_SECTIONS, ("table",)), "tfoot": (_SECTIONS, ("table",)),
+    "dt": (("dt", "dd"), ("dl", "table")), "dd": (("dt", "dd"), ("dl", "table")),
+    "li": (("li",), ("ul", "ol", "menu", "table")),
+}
 _CLOSES_P = _CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "hr"}
 
 #: Weights before any labelled page is seen, and how many tokens they count for.
@@ -114,6 +124,38 @@ def _role(tag: str, attributes: str) -> str:
     return other or ("n" if named else "")
 
 
+class _Open:
+    """Containers that are open, with their places; an opening or closing tag costs the entries
+    that it closes, however deep they are nested."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.at: dict[str, list[int]] = {}
+
+    def last(self, tags: tuple[str, ...]) -> int:
+        return max((self.at[tag][-1] for tag in tags if self.at.get(tag)), default=-1)
+
+    def cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            self.at[self.stack.pop()[0]].pop()
+
+    def close(self, tag: str) -> None:
+        if (k := self.last((tag,))) >= 0:
+            self.cut(k)
+
+    def push(self, tag: str, make: Callable[[int], int]) -> None:
+        """Opens ``tag`` at the place that ``make`` gives for the one around it."""
+        closed, bounds = _CLOSES.get(tag, ((), ()))
+        bound = self.last(bounds)
+        while (k := self.last(closed)) > bound:
+            self.cut(k)
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, make(self.place())))
+
+    def place(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
+
+
 class _Places:
     """Kinds of places in a page; each is made from the one around it and an element's role."""
 
@@ -186,7 +228,7 @@ def tokens(html: str) -> list[tuple]:
     """
     out: list[tuple] = []
     places = _Places()
-    stack: list[tuple[str, int]] = []
+    opened = _Open()
     here, inner, links, block = 0, "div", 0, 0
 
     at = 0
@@ -216,20 +258,14 @@ def tokens(html: str) -> list[tuple]:
             links = 0 if tag in _CLOSES_P else links
         if tag in _CONTAINERS:
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
-            elif len(stack) < 512:  # deeper nesting keeps the roles of what is open already
-                if tag in ("li", "tr", "td", "th", "dd", "dt") and stack and stack[-1][0] == tag:
-                    stack.pop()
-                outer = stack[-1][1] if stack else 0
-                stack.append((tag, places.inside(outer, tag, _role(tag, found[4]))))
-            here = stack[-1][1] if stack else 0
-            if closing:
-                inner = _place(stack[-1][0]) if stack else "div"
+                opened.close(tag)
+                inner = _place(opened.stack[-1][0]) if opened.stack else "div"
+            else:
+                role = _role(tag, found[4])
+                opened.push(tag, lambda outer, tag=tag, role=role: places.inside(outer, tag, role))
+            here = opened.place()
         elif tag not in _INLINE:
-            here = stack[-1][1] if stack else 0
+            here = opened.place()
             if not closing and tag not in _VOID:  # a paragraph's role holds until the next block
                 role = _role(tag, found[4])
                 here = places.inside(here, tag, role) if role != "n" else here

@@ -74,6 +74,24 @@ def test_main_text_in_elements_whose_names_speak_against_it():
         assert pages.main_text(page, weights) == f"{line}\nMore\n{line}\n{line}", page
 
 
+def test_main_text_of_long_and_deep_pages():
+    weights = dict(pages.PRIOR)
+    cells = "".join(f"<tr><td>first {k}<td>second {k}" for k in range(600))
+    terms = "".join(f"<dt>term {k}<dd>meaning {k}" for k in range(600))
+    for rows in (f"<table>{cells}<tr><td><div>inner</div></table>", f"<dl>{terms}<dd><div>inner</div></dl>"):
+        page = f"<div id=page><article>{rows}<p>The last words</p></article></div>"
+        text = pages.main_text(page, weights).split("\n")
+        assert len(text) == 1202 and text[-2:] == ["inner", "The last words"]
+    deep = "<div>" * 700
+    page = f"{deep}<nav><p>Other matter</p></nav><article><p>The text</p></article><aside><p>More of it</p></aside>"
+    assert pages.main_text(page, weights) == "The text"
+    for nested in ("<div>" * 50_000 + "</nav>" * 50_000, "<dd><div class=ad>" * 50_000, "<article><aside>" * 30_000):
+        assert pages.main_text(f"{nested}<p>deep words</p>", weights) in ("deep words", "")
+    # A table in a cell closes no cell around it.
+    page = "<article><table><tr><td class=ad><table><tr><td>Buy<tr><td>now</table>all<td>Text of the cell</table></article>"
+    assert pages.main_text(page, weights) == "Text of the cell"
+
+
 def test_main_text_of_hard_pages(spark):
     rows = [(1, None, None, "x"), (2, "u", "", "x"), (None, "u", "just words", None), (4, "u", "<p" * 2000, "")]
     rows += [(5, "u", "<div>" * 3000 + "<p>deep words</p>", "x"), (6, "u", "<p title='a>b' x=\">\">one</p" , "x")]
