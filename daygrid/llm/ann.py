@@ -17,7 +17,7 @@ PROJECTIONS = 64
 WIDTH, GROWTH = 0.9, 1.15
 #: Share of the projections whose windows must hold a vector before it is verified.
 COLLISIONS = 0.75
-#: A block's search ends once this share of its vectors, and no fewer than k, was verified.
+#: A block's search ends once this share of its distinct vectors, and no fewer than k, was verified.
 VERIFIED = 0.3
 #: Vectors and queries of a block; places in a block of vectors are 16-bit numbers.
 BLOCK, QUERIES = 8_192, 1_024
@@ -103,6 +103,31 @@ def collision_candidates(
         yield found
 
 
+class _Classes:
+    """Distinct vectors of a block, and for each the ``most`` rows of smallest id that have it."""
+
+    def __init__(self, points: np.ndarray, ids: np.ndarray, most: int):
+        keys = np.ascontiguousarray(points + 0.0)  # no negative zeros
+        _, first, kind = np.unique(
+            keys.view(np.dtype((np.void, keys.shape[1] * keys.itemsize))).ravel(),
+            return_index=True, return_inverse=True,
+        )
+        self.points, self.kind = keys[first], kind
+        self.sizes = np.bincount(kind, minlength=len(first))
+        by_id = np.lexsort((ids, kind))
+        begins = np.cumsum(self.sizes) - self.sizes
+        rank = np.arange(len(kind)) - begins[kind[by_id]]
+        self.rows = by_id[rank < most]
+        self.held = np.minimum(self.sizes, most)
+        self.begins = np.cumsum(self.held) - self.held
+
+    def expand(self, classes: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the classes, and the score of each."""
+        counts = self.held[classes]
+        shift = self.begins[classes] - (np.cumsum(counts) - counts)
+        return self.rows[np.repeat(shift, counts) + np.arange(counts.sum())], np.repeat(scores, counts)
+
+
 def _search(k: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -116,13 +141,20 @@ def _search(k: int):
                 points, queries = matrix(left["v"][here]), matrix(asked["v"])
                 own_ids, own_rows = ids[here], rows[here]
                 longest = np.linalg.norm(points, axis=1).max()
-                found = collision_candidates(points, queries, k + 1)
+                # Copies count once in the search. A query's own row is one of k + 1 at most.
+                distinct = _Classes(points, own_ids, k + 1)
+                place = {row: at for at, row in enumerate(own_rows.tolist())}
+                found = collision_candidates(distinct.points, queries, k + 1)
                 for query_id, query_row, query, near in zip(
                     asked["vec_id"], asked["row"], queries, found, strict=True
                 ):
-                    near = near[own_rows[near] != query_row]
-                    close, scores = _inner_products(points[near], query, k, longest)
-                    near = near[close]
+                    own = distinct.kind[place[query_row]] if query_row in place else -1
+                    if own >= 0 and distinct.sizes[own] == 1:
+                        near = near[near != own]
+                    close, scores = _inner_products(distinct.points[near], query, k, longest)
+                    near, scores = distinct.expand(near[close], scores)
+                    others = own_rows[near] != query_row
+                    near, scores = near[others], scores[others]
                     best = np.lexsort((own_ids[near], -scores))[:k]
                     count = len(best)
                     out.append(
@@ -143,7 +175,7 @@ def nearest(
     Nearness is the inner product of the original vectors in double precision; ties go to the
     smaller vec_id. Vectors that are null, zero or hold null or non-finite components, and
     rows without an id, take no part; vectors of unequal length never meet. A row that repeats
-    an id is a query and a candidate of its own. Fewer candidates than k give fewer rows.
+    an id is a query and a candidate of its own. Equal vectors of a block are searched once. Fewer candidates than k give fewer rows.
     Queries and vectors are split into blocks of bounded size by a hash of row and id; each
     pair of a vector block and a query block is a task, and only k rows of it go on.
     """

@@ -6,6 +6,7 @@ import re
 from html import unescape
 
 import numpy as np
+import pandas as pd
 import pytest
 from compare import differences, duckdb_views
 
@@ -248,6 +249,29 @@ def test_equal_vectors_have_equal_products():
     assert set(best) <= set(rows.tolist())
 
 
+def test_copies_take_nothing_from_recall():
+    """A block where a third of the rows are one vector; the queries are those nearest to it."""
+    x = np.random.default_rng(3).standard_normal((6000, 64))
+    x[::3] = x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = np.arange(6000)
+    left = pd.DataFrame({"vec_id": rows * 7, "row": rows, "v": list(x)})
+    asked = np.append(rows[rows % 3 > 0][np.argsort(-(x[rows % 3 > 0] @ x[0]))[:100]], [0, 3])
+    found = ann._search(20)(left, left.iloc[asked])
+    assert len(found) == 20 * len(asked)
+    recalls = []
+    for q in asked:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        mine = found[found["query_row"] == q]
+        assert set(mine["vec_id"]).isdisjoint([q * 7]) and mine["vec_id"].is_unique
+        assert np.allclose(mine["score"], scores[mine["vec_id"] // 7])
+        recalls.append((mine["score"] >= np.sort(scores)[-20] - 1e-9).mean())
+        if scores.max() > 1 - 1e-9:  # of copies the smallest ids
+            assert sorted(mine["vec_id"]) == [r * 7 for r in rows[::3] if r != q][:20]
+    assert np.mean(recalls) >= 0.99 and min(recalls) >= 0.8, (np.mean(recalls), min(recalls))
+
+
 def test_neighbours_of_hard_rows(spark, vectors):
     few = vectors.where("vec_id >= 2000 or vec_id is null or vec_id in (0, 3, 20)")
     rows = ann.nearest(few).collect()
