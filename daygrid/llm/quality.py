@@ -13,8 +13,10 @@ from daygrid.llm.common import per_row
 
 #: Weight of the pooled diagonal in a class covariance.
 SHRINKAGE = 0.05
-#: Rows of a class below which no discriminant is fitted.
-LEAST_ROWS = 20
+#: Rows of the pooled covariance that count beside a class's own; few rows span no covariance.
+POOLED_ROWS = 20
+#: Rows of a class below which it has no covariance, so no discriminant is fitted.
+LEAST_ROWS = 2
 
 STATISTICS = (
     "log_bytes upper punctuation symbols exclamations bars digits herdan repeats lines word_length "
@@ -114,6 +116,10 @@ def _discriminant(moments: dict[int, tuple[int, np.ndarray, np.ndarray]]) -> Dis
         covariances.append((outer / n - np.outer(mean, mean)) / np.outer(scale, scale))
     pooled = (n0 * covariances[0] + n1 * covariances[1]) / total
     target = np.diag(np.maximum(np.diag(pooled), 1e-3))
+    covariances = [
+        (moments[k][0] * c + POOLED_ROWS * pooled) / (moments[k][0] + POOLED_ROWS)
+        for k, c in enumerate(covariances)
+    ]
     factors = [np.linalg.cholesky((1 - SHRINKAGE) * c + SHRINKAGE * target) for c in covariances]
     log_dets = [2 * np.log(np.diag(f)).sum() for f in factors]
     return Discriminant(prior, centre, scale, np.array(means), np.array(factors), np.array(log_dets))
@@ -124,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
 
     Moments are sums that Spark makes on all rows; two vectors and matrices of fixed size
     reach the driver. Labels other than 0 and 1 and null ids teach nothing. An id with
-    repeated equal labels counts once, one with both labels teaches both.
+    repeated equal labels counts once, one with both labels teaches both. With fewer than
+    LEAST_ROWS rows of either label no discriminant is fitted and every row scores the prior.
     """
 
     def make(batch):
@@ -177,7 +184,9 @@ def score(docs: DataFrame, model: Discriminant, id_col="doc_id", text_col="text"
 
 
 def keep_good(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
-    """Rows whose text scores 0.5 or more; all columns stay."""
+    """Rows whose text scores 0.5 or more, all rows if no discriminant was fitted; all columns stay."""
+    if model.centre is None:
+        return docs
 
     @F.pandas_udf("double")
     def probability(texts):

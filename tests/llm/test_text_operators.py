@@ -84,6 +84,25 @@ def test_quality_of_hard_texts(spark, hard):
     assert quality.keep_good(hard, quality.fit(hard, labels)).columns == hard.columns
 
 
+def test_quality_of_few_labels(spark):
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choice("etaoinsr") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(60, 200))) + "."
+    noise = lambda: " ".join(rng.choice(["BUY", "NOW!!!", "$$$", "9999", "||", "WIN"]) for _ in range(rng.randint(60, 200)))
+    ids = [i for i in range(1000) if crc32(str(i).encode()) % 3 != 1]
+    for good, bad in ((15, 40), (40, 15), (2, 40), (2, 2)):
+        rows = [(i, prose() if k % 2 else noise()) for k, i in enumerate(ids[:200])]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        marked = [(i, 1) for i in ids[1:200:2][:good]] + [(i, 0) for i in ids[:200:2][:bad]]
+        labels = spark.createDataFrame(marked, "doc_id long, quality int")
+        kept = {r.doc_id for r in quality.keep_good(docs, quality.fit(docs, labels)).collect()}
+        wanted = set(ids[1:200:2])
+        assert len(kept ^ wanted) <= (0 if min(good, bad) > 2 else 10), (good, bad, len(kept & wanted), len(kept - wanted))
+    # Labels of one side or none fit nothing, and nothing is dropped.
+    for marked in ([(i, 0) for i in ids[:40]], [(ids[0], 1)] + [(i, 0) for i in ids[1:40]]):
+        model = quality.fit(docs, spark.createDataFrame(marked, "doc_id long, quality int"))
+        assert quality.keep_good(docs, model).count() == 200
+
+
 def expected_fingerprint(text):
     words = [w for w in (text or "").encode().lower().split()]
     if not words:
