@@ -4,8 +4,8 @@ A window of LENGTH bytes is assigned to its anchor, the GRAM bytes within it who
 least (rightmost of equals). The anchor depends on the window's bytes alone, so equal windows
 have equal anchors at equal places, and only anchors whose bytes come twice in the corpus can
 have repeated windows. The text after such anchors, and the text before them read backwards,
-is sorted within each group of equal anchors: shallow by multikey quicksort on words of eight
-bytes, deep by blind tries. Two windows are equal exactly if they share enough on both sides.
+is sorted within each group of equal anchors: shallow by words of eight bytes, one lexsort of
+all fragments a word from the most significant on, deep by blind tries. Two windows are equal exactly if they share enough on both sides.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ _GRAMS = LENGTH - GRAM + 1
 #: Window starts of a text that are looked at together.
 _PART = 1 << 19
 _LOW = (1 << 24) - 1
-#: Bytes that multikey quicksort looks at before tries take over.
+#: Bytes that the sort by words looks at before tries take over.
 SHALLOW = 32
 #: Fragments that are sorted together in one go, and the most of an anchor that one task sorts.
 BATCH_FRAGMENTS = 20_000
