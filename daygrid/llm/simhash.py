@@ -42,17 +42,22 @@ def text_fingerprint(text: str | None) -> int:
     return int(np.packbits(set_bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; whole texts, null texts are empty ones."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark_col: str | None = None
+) -> DataFrame:
+    """(doc_id, fp) of every row, and its mark if named; whole texts, null texts are empty ones."""
 
     def make(batch):
-        return {
+        made = {
             "doc_id": batch.column(0),
             "fp": [text_fingerprint(t) for t in batch.column(1).to_pylist()],
         }
+        return made | {"mark": batch.column(2)} if mark_col else made
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return per_row(source, "doc_id long, fp long", make)
+    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")]
+    if mark_col:
+        columns.append(F.col(mark_col).alias("mark"))
+    return per_row(docs.select(*columns), "doc_id long, fp long" + ", mark long" * bool(mark_col), make)
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -113,6 +118,15 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return pairs.unionByName(stars).where("a != b")
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """(fp, first_id, root) of every distinct fingerprint: its least doc_id and its component."""
+    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fp")
+    roots = components(fingerprint_links(distinct.select("fp")))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint, component_id.
 
@@ -122,11 +136,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Columns of ``docs`` other than the two named ones are not read.
     """
     prints = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fp")
-    roots = components(fingerprint_links(distinct.select("fp")))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(prints)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
@@ -137,14 +147,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` but for all but one of each component; all columns stay.
 
-    The row with the component's id stays; of rows that repeat that id, one does. Rows with a
-    null id count as rows of their own, after all others.
+    The row with the component's id stays; of its rows that repeat that id, one does. An id may
+    come in several components with texts of its own, so a row is known by its id and its text's
+    hash. Rows with a null id count as rows of their own, after all others.
     """
-    key = "__key"
-    while key in {name.lower() for name in docs.columns}:
-        key += "_"
+    key, mark = "__key", "__mark"
+    while {key, mark} & {name.lower() for name in docs.columns}:
+        key, mark = key + "_", mark + "_"
     spare = F.lit(1 << 62) + F.monotonically_increasing_id()
     keyed = docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`").cast("long"), spare))
-    found = near_duplicates(keyed, key, text_col)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key))
-    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).drop(key)
+    keyed = keyed.withColumn(mark, F.xxhash64(F.col(f"`{text_col}`")))
+    prints = staged(fingerprints(keyed, key, text_col, mark), "fingerprints")
+    # A fingerprint's least id is enough: the component's least id is one of these.
+    rooted = _rooted(prints).withColumnRenamed("first_id", "doc_id")
+    firsts = prints.join(rooted, ["fp", "doc_id"])
+    keep = (
+        firsts.groupBy("root")
+        .agg(F.min(F.struct("doc_id", "mark")).alias("one"))
+        .select(F.col("one.doc_id").alias(key), F.col("one.mark").alias(mark))
+    )
+    return keyed.join(keep, [key, mark], "left_semi").dropDuplicates([key, mark]).drop(key, mark)

@@ -164,6 +164,15 @@ def test_keep_one(spark, hard):
     assert kept.count() == found.select("component_id").distinct().count() + 1
 
 
+def test_keep_one_of_ids_that_come_again_with_other_texts(spark):
+    one, other, third = "a b c d e f", "quite another text than that", "and a third one of its own"
+    rows = [(5, one), (6, one), (7, one), (5, other), (8, other), (5, other), (9, third), (None, other), (None, None), (5, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((tuple(r) for r in simhash.keep_one(frame).collect()), key=repr)
+    # The texts without words are one component, named by its only id.
+    assert kept == sorted([(5, one), (5, other), (9, third), (5, "")], key=repr)
+
+
 def test_keep_one_leaves_a_column_of_its_key_name(spark):
     rows = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y")], "doc_id long, text string, __key string")
     assert [tuple(r) for r in simhash.keep_one(rows).collect()] == [(1, "a b c", "x")]
