@@ -72,6 +72,32 @@ def per_row(
     return frame.mapInArrow(run, schema)
 
 
+def per_batch(
+    frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int
+) -> DataFrame:
+    """Maps Arrow batches, ``rows`` rows at most at a time, to batches of ``schema``."""
+    small_batches(frame.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                yield make(batch.slice(start, rows))
+
+    return frame.mapInArrow(run, schema)
+
+
+def free_names(frame: DataFrame, *stems: str) -> list[str]:
+    """Column names made from ``stems`` that ``frame`` does not have."""
+    taken = {name.lower() for name in frame.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lowers the session's Arrow batch size, so that a batch of long texts fits in memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

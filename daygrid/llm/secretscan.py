@@ -224,6 +224,8 @@ def _expression(text: str, at: int, limit: int) -> tuple[list[Literal | str], li
             if text[m.end() : m.end() + 1] == "(":
                 break  # a call's value is unknown
             parts += [m.group(), Literal(m.start(), m.end())]
+        elif text[m.end() - 1] == ":":
+            break  # a name with an operator of its own
         else:
             parts.append(Literal(m.start(), m.end()))
         joined, at = False, m.end()

@@ -184,8 +184,8 @@ def test_components_of_paths_and_stars(spark):
     assert roots == {**{i: 0 for i in range(61)}, **{i: 1000 for i in range(1000, 1100)}}
 
 
-def brute_removal(texts):
-    size, counts = suffixes.LENGTH, Counter()
+def brute_removal(texts, size=suffixes.LENGTH):
+    counts = Counter()
     datas = [(t or "").encode() for t in texts]
     for data in datas:
         counts.update(data[i : i + size] for i in range(len(data) - size + 1))
@@ -197,23 +197,81 @@ def brute_removal(texts):
                 covered[i : i + size] = True
         edges = np.diff(np.concatenate([[0], covered.astype(int)]))
         kept = np.frombuffer(data, dtype=np.uint8)[~covered].tobytes()
-        out.append((len(data), int(covered.sum()), int((edges == 1).sum()), sha256(kept).hexdigest()))
+        out.append(
+            (len(data), int(covered.sum()), int((edges == 1).sum()), sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"))
+        )
     return out
 
 
-@pytest.mark.parametrize("group_fragments", [suffixes.GROUP_FRAGMENTS, 1])
-def test_suffixes_equal_brute_force(spark, group_fragments):
+@pytest.mark.parametrize(("length", "chunk_fragments"), [(400, 1000), (400, 3), (200, 1000), (200, 1), (13, 40)])
+def test_suffixes_equal_brute_force(spark, length, chunk_fragments):
     texts = hard_texts()[:-1]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    report = suffixes.removal_report(frame, group_fragments=group_fragments)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in report.collect()}
+    report = suffixes.removal_report(frame, length=length, chunk_fragments=chunk_fragments)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in report.collect()}
+    assert got == dict(enumerate(brute_removal(texts, length)))
+
+
+def test_an_anchor_of_many_texts_goes_in_chunks(spark):
+    """One passage in all texts, and edges that some share: chunks find what one task would."""
+    rng = random.Random(9)
+    made = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, edge = made(700), made(90)
+    texts = [made(300) + (edge if k % 5 == 0 else "") + passage + made(200) for k in range(120)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    report = suffixes.removal_report(frame, chunk_fragments=10)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in report.collect()}
     assert got == dict(enumerate(brute_removal(texts)))
 
 
+def test_multikey_quicksort_orders_groups_and_words():
+    rng = np.random.default_rng(3)
+    for n, high in ((1, 2), (2, 2), (500, 2), (500, 40), (4000, 3)):
+        words = rng.integers(0, high, (n, 4)).astype(np.uint64)
+        groups = rng.integers(0, 5, n)
+        order, new = suffixes.multikey_quicksort(words, groups)
+        rows = [(groups[i], *words[i]) for i in order]
+        assert rows == sorted(rows) and sorted(order) == list(range(n))
+        assert new.tolist() == [k == 0 or rows[k] != rows[k - 1] for k in range(n)]
+
+
+@pytest.mark.parametrize("name", ["key", "kept", "__kept", "__copied", "__k1", "__k2", "__text", "k1", "KEPT_", "h"])
+def test_suffixes_leave_columns_of_any_name(spark, name):
+    shared = "a passage that stands in both texts, " * 6
+    rows = [(1, "one " + shared, "x"), (2, "two " + shared, "y"), (3, None, None)]
+    frame = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` string")
+    got = sorted(tuple(r) for r in suffixes.without_repeats(frame, length=100).collect())
+    assert [(r[0], r[2]) for r in got] == [(1, "x"), (2, "y"), (3, None)] and got[2][1] is None
+    assert got[0][1] == "one" and got[1][1] == "two"
+
+
+def test_the_pipeline_removes_passages_of_over_fifty_words(spark):
+    """Planted passages go from all documents that hold them, others stay as they are."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [prose(rng.randint(51, 70)) for _ in range(8)]
+    rows = [(i, f"{prose(120)} {passages[i % 8]} {prose(90)}") for i in range(40)]
+    short = prose(20)
+    rows += [(100 + i, f"{prose(150)} {short} {prose(40)}") for i in range(30)]
+    frame = spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.suffix_stage(spark, frame, SF_DIR).collect()}
+    for i, text in rows:
+        if i >= 100:
+            assert got[i].text == text
+            continue
+        before, after = text.split(passages[i % 8])
+        # Windows reach over the passage's ends only where the texts around it are equal too.
+        assert got[i].text.startswith(before[:-4]) and got[i].text.endswith(after[4:])
+        assert len(got[i].text) <= len(before) + len(after) and got[i].n_chars == len(got[i].text)
+
+
 def test_suffix_query_equals_brute_force(spark, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     got = {
-        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text)
         for r in REGISTRY["op5_suffix_dedup"](spark, SF_DIR).collect()
     }
     assert got == dict(zip(texts, brute_removal(texts.values()), strict=True))
@@ -347,12 +405,13 @@ def test_pipeline_equals_brute_force(spark):
     prints = [expected_fingerprint(r.text) for r in good]
     labels = least_labels(len(good), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
     single = [r for k, r in enumerate(good) if labels[k] == k]
-    lengths = {r.doc_id: n - m for r, (n, m, _, _) in zip(single, brute_removal([r.text for r in single]), strict=True)}
+    removed = brute_removal([r.text for r in single], corpus_pipeline.PASSAGE)
+    kept = {r.doc_id: text for r, (*_, text) in zip(single, removed, strict=True)}
     frame = spark.createDataFrame(single, docs.schema)
     cut = corpus_pipeline.suffix_stage(spark, frame, SF_DIR)
     assert cut.columns == docs.columns
     for row in cut.collect():
-        assert lengths[row.doc_id] - 6 <= len(row.text.encode()) <= lengths[row.doc_id]
+        assert row.text == kept[row.doc_id]
         assert row.n_chars == len(row.text)
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in single}
