@@ -21,9 +21,15 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
+#: Bytes of a repeated passage that goes: 50 words of three letters and a space. Nearly all
+#: passages of over 50 words are longer, and few sentences are.
+PASSAGE = 200
+
+
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that also stand elsewhere, with their new lengths."""
-    cut = suffixes.without_repeats(docs)
+    """Documents without passages of PASSAGE bytes or more that also stand elsewhere, with their
+    new lengths. Null texts stay null; all rows and columns stay."""
+    cut = suffixes.without_repeats(docs, length=PASSAGE)
     if "n_chars" not in cut.columns:
         return cut
     length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
