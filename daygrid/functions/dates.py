@@ -16,6 +16,13 @@ def iso_weekday(day: Column) -> Column:
     return F.weekday(day) + 1
 
 
+def week_day(year: Column, week: Column, weekday: int) -> Column:
+    """Date of an ISO weekday of a Sunday week; outside the year in weeks at its ends."""
+    opening = F.make_date(year, F.lit(1), F.lit(1))
+    first_sunday = F.date_add(opening, (8 - F.dayofweek(opening)) % 7)
+    return F.date_add(first_sunday, (7 * (week - 1) + weekday).cast("int"))
+
+
 def is_workday(day: Column) -> Column:
     return F.weekday(day) < 5
 

@@ -7,10 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import is_workday, iso_weekday, month_week
-from daygrid.functions.text import cell_role, is_blank, starts_with_digit, tag_argb, untag
-from daygrid.operators.months import PAD, WORKDAYS
-from daygrid.operators.ranking import block_of, dense_numbers, row_numbers
+from daygrid.functions.text import cell_role, tag_argb, untag
+from daygrid.operators.months import WORKDAYS
+from daygrid.operators.ranking import BLOCK_ROWS, block_of, row_numbers
 from daygrid.operators.slots import TIMED_ROW_NUM, WEEK_KEYS
+from daygrid.operators.weekrows import row_runs
 
 DAY_KEYS = ("calendar_id", "session_date")
 BLOCK_KEYS = ("calendar_id", "year", "month", "week")
@@ -34,21 +35,26 @@ def timed_positions(timed: DataFrame) -> DataFrame:
     return row_numbers(timed, {"timed_pos": DAY_KEYS}, TIMED_ORDER, pieces)
 
 
-def day_positions(aligned: DataFrame, timed: DataFrame, slots: DataFrame) -> DataFrame:
+def day_positions(aligned: DataFrame, timed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Every slotted row with its position in the day: slots first, then timed items.
 
     All workdays of a week have all its slots, so a slot's position is its
     number within the week and timed items follow after the week's slot count.
+    ``timed`` has ``timed_pos`` and ``sizes`` the ``slots`` of each week.
     """
     placed = aligned.withColumnRenamed("slot_pos", "pos").withColumn("kind", F.lit(0))
-    sizes = slots.groupBy(*WEEK_KEYS).agg(F.max("slot_pos").alias("_slots"))
     follows = (
-        timed_positions(timed.withColumn("row_num", F.lit(TIMED_ROW_NUM)))
-        .join(sizes, [*WEEK_KEYS], "left")
-        .withColumn("pos", F.coalesce("_slots", F.lit(0)) + F.col("timed_pos"))
-        .drop("_slots", "timed_pos")
+        timed.join(sizes.select(*WEEK_KEYS, "slots"), [*WEEK_KEYS], "left")
+        .withColumns(
+            {
+                "row_num": F.lit(TIMED_ROW_NUM),
+                "pos": F.coalesce("slots", F.lit(0)) + F.col("timed_pos"),
+                "kind": F.lit(1),
+            }
+        )
+        .select(*placed.columns)
     )
-    return placed.unionByName(follows.withColumn("kind", F.lit(1)))
+    return placed.unionByName(follows)
 
 
 def on_calendar(workdays: DataFrame, positioned: DataFrame, present: DataFrame) -> DataFrame:
@@ -72,39 +78,33 @@ def item_grid(cells: DataFrame, value: str = "tagged") -> DataFrame:
     )
 
 
-def drop_blank_rows(cells: DataFrame, position: str = "pos") -> DataFrame:
-    """Renumbers positions over the rows of a week that show something on a workday.
-
-    ``cells`` holds non-blank cells only, so a row without any is already gone.
-    """
-    ranked = dense_numbers(cells, BLOCK_KEYS, position, "_pos")
-    return ranked.drop(position).withColumnRenamed("_pos", position)
-
-
 def mark_spans(cells: DataFrame) -> DataFrame:
     """Adds ``span_first`` and ``span_days`` to cells in a run of equal neighbours.
 
-    Equal texts of one row form islands in which weekday minus rank is constant.
-    Blank, pad and digit-first texts do not merge. A row has at most five cells.
+    The cells of a row, five at most, meet in one aggregation and runs are found within it.
     """
-    merges = ~(
-        is_blank(F.col("tagged")) | (F.col("tagged") == PAD) | starts_with_digit(F.col("tagged"))
-    )
-    same_text = W.partitionBy(*ROW_KEYS, "tagged")
-    islands = cells.withColumn(
-        "_island", F.col("dow") - F.row_number().over(same_text.orderBy("dow"))
+    others = [c for c in cells.columns if c not in (*ROW_KEYS, "dow")]
+    days = range(1, len(WORKDAYS) + 1)
+    rows = cells.groupBy(*ROW_KEYS).agg(
+        *[F.max(F.when(F.col("dow") == k, F.struct(*others))).alias(f"day_{k}") for k in days]
     )
-    island = W.partitionBy(*ROW_KEYS, "tagged", "_island")
-    marked = islands.withColumns(
-        {"_first": F.min("dow").over(island), "_days": F.count("*").over(island)}
+    marked = []
+    for k, (first, last) in zip(days, row_runs([F.col(f"day_{k}.tagged") for k in days])):
+        spanned, cell = last > first, F.col(f"day_{k}")
+        marked.append(
+            F.struct(
+                F.lit(k).alias("dow"),
+                cell.alias("cell"),
+                F.when(spanned, first).cast("int").alias("span_first"),
+                F.when(spanned, last - first + 1).cast("int").alias("span_days"),
+            )
+        )
+    found = rows.select(*ROW_KEYS, F.inline(F.array(*marked))).where(F.col("cell").isNotNull())
+    return found.select(
+        *[F.col(c) if c in (*ROW_KEYS, "dow") else F.col(f"cell.{c}").alias(c) for c in cells.columns],
+        "span_first",
+        "span_days",
     )
-    spanned = merges & (F.col("_days") >= 2)
-    return marked.withColumns(
-        {
-            "span_first": F.when(spanned, F.col("_first")),
-            "span_days": F.when(spanned, F.col("_days")).cast("int"),
-        }
-    ).drop("_island", "_first", "_days")
 
 
 def span_runs(spanned: DataFrame) -> DataFrame:
@@ -136,50 +136,11 @@ def paint(decoded: DataFrame) -> DataFrame:
     )
 
 
-def compact(cells: DataFrame) -> DataFrame:
-    """Adds ``new_pos``: cells move up over blank ones, but not past a merged cell.
-
-    Between two merged cells of a day, the k-th other cell takes the k-th place
-    after the upper one. Cells whose decoded text is blank vanish unless merged.
-    A day is counted in blocks of its positions; what a block needs to know of
-    the blocks above it is one number, the place after which its cells begin.
-    """
-    merged = F.col("span_days").isNotNull()
-    mover, wall = F.when(merged, 0).otherwise(1), F.when(merged, F.col("pos"))
-    held = cells.where(merged | ~is_blank(F.col("text"))).withColumn("_block", block_of("pos"))
-    day = [*BLOCK_KEYS, "session_date", "dow"]
-    through = W.partitionBy(*day, "_block").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    local = held.withColumn("_movers", F.sum(mover).over(through)).withColumns(
-        {
-            "_wall": F.max(wall).over(through),
-            "_walled": F.max(F.when(merged, F.col("_movers"))).over(through),
-        }
-    )
-    above = W.partitionBy(*day).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    begins = (
-        local.groupBy(*day, "_block")
-        .agg(F.sum(mover).alias("n"), F.max("_wall").alias("w"), F.max("_walled").alias("m"))
-        .withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0)))
-        .withColumn("m", F.max(F.col("before") + F.col("m")).over(above))
-        .select(
-            *day,
-            "_block",
-            (F.coalesce(F.max("w").over(above), F.lit(0)) + F.col("before")
-             - F.coalesce("m", F.lit(0))).alias("_begin"),
-        )
-    )
-    moved = F.coalesce(F.col("_wall") - F.col("_walled"), F.col("_begin")) + F.col("_movers")
-    return (
-        local.join(begins, [*day, "_block"])
-        .withColumn("new_pos", F.when(merged, F.col("pos")).otherwise(moved).cast("int"))
-        .select(*cells.columns, "new_pos")
-    )
-
-
 def wide_rows(cells: DataFrame) -> DataFrame:
-    """Grid rows from cells: text, colour, role and span of each weekday.
+    """Grid rows from cells: text, colour, role and span of each weekday, and the row's ``piece``.
 
-    Only the first cell of a span shows its text. At most five cells meet in a row.
+    Only the first cell of a span shows its text. At most five cells meet in a row. Cells are dealt
+    by week and piece of positions, so rows are made and later numbered in the same place.
     """
     shown = F.col("span_days").isNull() | (F.col("dow") == F.col("span_first"))
     cell = F.struct(
@@ -188,40 +149,63 @@ def wide_rows(cells: DataFrame) -> DataFrame:
         F.when(shown, F.col("role")).alias("role"),
         F.when(shown, F.coalesce("span_days", F.lit(1))).alias("span"),
     )
-    by_day = F.map_from_entries(F.collect_list(F.struct("dow", cell)))
-    rows = cells.groupBy(*BLOCK_KEYS, F.col("new_pos").alias("pos")).agg(by_day.alias("days"))
-    return rows.selectExpr(
-        *ROW_KEYS,
-        "'items' AS kind",
+    dealt = cells.select(
+        *BLOCK_KEYS, block_of("new_pos").alias("piece"), F.col("new_pos").alias("pos"), "dow", cell.alias("cell")
+    ).repartition(*BLOCK_KEYS, "piece")
+    rows = dealt.groupBy(*BLOCK_KEYS, "piece", "pos").agg(
         *[
-            f"try_element_at(days, {number}).{part} AS {name}{suffix}"
+            F.max(F.when(F.col("dow") == number, F.col("cell"))).alias(name)
             for number, name in enumerate(WORKDAYS, start=1)
-            for part, suffix in CELL_PARTS
-        ],
+        ]
+    )
+    return rows.select(
+        *BLOCK_KEYS,
+        "piece",
+        "pos",
+        F.lit("items").alias("kind"),
+        *[F.col(f"{name}.{part}").alias(f"{name}{suffix}") for name in WORKDAYS for part, suffix in CELL_PARTS],
     )
 
 
 def day_rows(day_grid: DataFrame) -> DataFrame:
-    """The day-number row that heads each week, in the columns of `wide_rows`."""
-    return day_grid.selectExpr(
+    """The day-number row that heads each week, in the columns of grid rows."""
+    nothing = F.lit(None).cast("string")
+    return day_grid.select(
         *BLOCK_KEYS,
-        "0 AS pos",
-        "'days' AS kind",
+        F.lit("days").alias("kind"),
         *[
-            f"{value} AS {name}{suffix}"
+            value.alias(f"{name}{suffix}")
             for name in WORKDAYS
-            for value, (_, suffix) in zip(
-                (name, "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", "1"), CELL_PARTS
-            )
+            for value, (_, suffix) in zip((F.col(name), nothing, nothing, F.lit(1)), CELL_PARTS)
         ],
     )
 
 
-def number_rows(rows: DataFrame) -> DataFrame:
-    """Adds ``grid_row``, the number of a row within its month, by week and position.
+def grid_rows(heads: DataFrame, cells: DataFrame) -> DataFrame:
+    """Day-number rows and item rows with ``grid_row``, the number of a row within its month.
 
-    ``rows`` are read twice, to count a week's blocks of positions and to number rows.
+    Rows that lost all their cells are gone. How many rows a piece of a week has is the count of
+    a bitmap of its positions, which combines before the shuffle; a row's number is that of its
+    piece's first row and its place in the piece.
     """
-    month = ("calendar_id", "year", "month")
-    pieces = [F.col("week"), block_of("pos")]
-    return row_numbers(rows, {"grid_row": month}, ["week", "pos"], pieces).drop("pos")
+    occupied = F.bitmap_construct_agg((F.col("new_pos") % BLOCK_ROWS).cast("long"))
+    counts = (
+        cells.groupBy(*BLOCK_KEYS, block_of("new_pos").alias("piece"))
+        .agg(F.bitmap_count(occupied).alias("n"))
+        .unionByName(heads.select(*BLOCK_KEYS, F.lit(-1).cast("long").alias("piece"), F.lit(1).cast("long").alias("n")))
+    )
+    month = W.partitionBy("calendar_id", "year", "month").orderBy("week", "piece")
+    above = F.coalesce(F.sum("n").over(month.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(*BLOCK_KEYS, "piece", above.alias("above"))
+    place = F.row_number().over(W.partitionBy(*BLOCK_KEYS, "piece").orderBy("pos"))
+    body = (
+        wide_rows(cells)
+        .withColumn("place", place)
+        .join(starts, [*BLOCK_KEYS, "piece"])
+        .withColumn("grid_row", (F.col("above") + F.col("place")).cast("int"))
+        .drop("piece", "pos", "place", "above")
+    )
+    tops = heads.join(starts.where("piece = -1"), [*BLOCK_KEYS]).withColumn(
+        "grid_row", (F.col("above") + 1).cast("int")
+    )
+    return body.unionByName(tops.select(*body.columns))

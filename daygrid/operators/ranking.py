@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Positions in a piece of a group that has dense positions.
-BLOCK_ROWS = 65_536
+# Positions in a piece of a group that has dense positions; a piece's bitmap holds 32,768.
+BLOCK_ROWS = 32_768
 
 
 def ascending(columns: Sequence[str]) -> list[Column]:
@@ -27,49 +27,79 @@ def block_of(position: str) -> Column:
     return F.floor(F.col(position) / BLOCK_ROWS)
 
 
-def row_numbers(
+def running_state(
     frame: DataFrame,
-    numbers: Mapping[str, Sequence[str]],
     order: Sequence[str],
     pieces: Sequence[Column],
+    sums: Mapping[str, tuple[Sequence[str], Column]],
+    tops: Mapping[str, tuple[str, Column]] | None = None,
 ) -> DataFrame:
-    """``row_number() over (partition by keys order by order nulls last)`` for each
-    (name, keys) of ``numbers``.
+    """Adds running sums and what they were at the last row of a kind, in one pass.
+
+    ``sums`` maps a name to (keys, number): the sum of the numbers up to a row, over the rows
+    with its keys in ``order``, nulls last. ``tops`` maps a name to (sum, condition): the sum at the
+    last row so far that meets the condition, null before the first one. Numbers are not negative,
+    so this is the greatest sum at such a row.
 
     ``pieces`` never decrease in this order, nulls last. Null keys are a group like others.
     """
-    keys = list(dict.fromkeys(key for group in numbers.values() for key in group))
+    tops = tops or {}
+    keys = list(dict.fromkeys(key for group, _ in sums.values() for key in group))
     parts = [f"part_{i}" for i in range(len(pieces))]
     piece = F.struct(*keys, *[p.alias(name) for p, name in zip(pieces, parts)])
-    split = frame.withColumn("_piece", piece)
     within = W.partitionBy("_piece").orderBy(*ascending(order))
-    local = split.withColumn("_local", F.row_number().over(within))
-    counts = split.groupBy("_piece").count()
+    through = within.rowsBetween(W.unboundedPreceding, 0)
+    split = frame.withColumn("_piece", piece)
+    local = split.withColumns({f"_{n}": F.sum(number).over(through) for n, (_, number) in sums.items()})
+    if tops:
+        local = local.withColumns(
+            {f"_{n}": F.max(F.when(kind, F.col(f"_{total}"))).over(through) for n, (total, kind) in tops.items()}
+        )
+        states = local.groupBy("_piece").agg(
+            *[F.max(f"_{n}").alias(f"_{n}") for n in [*sums, *tops]]
+        )
+    else:
+        states = split.groupBy("_piece").agg(
+            *[F.sum(number).alias(f"_{n}") for n, (_, number) in sums.items()]
+        )
 
-    def rows_before(group: Sequence[str]) -> Column:
+    def earlier(group: Sequence[str]):
         window = W.partitionBy(*[f"_piece.{key}" for key in group])
-        earlier = window.orderBy(*ascending([f"_piece.{name}" for name in parts]))
-        return F.coalesce(
-            F.sum("count").over(earlier.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        )
+        ordered = window.orderBy(*ascending([f"_piece.{name}" for name in parts]))
+        return ordered.rowsBetween(W.unboundedPreceding, -1)
 
-    starts = counts.select(
-        "_piece", *[rows_before(group).alias(f"_before_{name}") for name, group in numbers.items()]
+    starts = states.withColumns(
+        {f"_before_{n}": F.coalesce(F.sum(f"_{n}").over(earlier(group)), F.lit(0)) for n, (group, _) in sums.items()}
     )
-    return (
-        local.join(starts, "_piece")
-        .withColumns(
-            {n: (F.col("_local") + F.col(f"_before_{n}")).cast("int") for n in numbers}
+    if tops:
+        starts = starts.withColumns(
+            {
+                f"_before_{n}": F.max(F.col(f"_before_{total}") + F.col(f"_{n}")).over(earlier(sums[total][0]))
+                for n, (total, _) in tops.items()
+            }
         )
-        .select(*frame.columns, *numbers)
+    names = [*sums, *tops]
+    joined = local.join(starts.select("_piece", *[f"_before_{n}" for n in names]), "_piece")
+    return joined.select(
+        *frame.columns,
+        *[(F.col(f"_before_{n}") + F.col(f"_{n}")).alias(n) for n in sums],
+        *[
+            F.greatest(F.col(f"_before_{n}"), F.col(f"_before_{total}") + F.col(f"_{n}")).alias(n)
+            for n, (total, _) in tops.items()
+        ],
     )
 
 
-def dense_numbers(frame: DataFrame, keys: Sequence[str], position: str, name: str) -> DataFrame:
-    """``dense_rank() over (partition by keys order by position)`` as ``name``; no nulls."""
-    distinct = frame.select(*keys, position).distinct()
-    ranked = row_numbers(distinct, {name: keys}, [position], [block_of(position)])
-    return frame.join(ranked, [*keys, position])
+def row_numbers(
+    frame: DataFrame,
+    numbers: Mapping[str, Sequence[str]],
+    order: Sequence[str],
+    pieces: Sequence[Column],
+) -> DataFrame:
+    """``row_number() over (partition by keys order by order nulls last)`` for each
+    (name, keys) of ``numbers``; ``pieces`` as in `running_state`."""
+    numbered = running_state(frame, order, pieces, {n: (keys, F.lit(1)) for n, keys in numbers.items()})
+    return numbered.withColumns({n: F.col(n).cast("int") for n in numbers})
 
 
 def null_safe_join(

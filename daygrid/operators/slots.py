@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import is_workday
 from daygrid.operators.items import ITEM_COLUMNS, with_week
-from daygrid.operators.ranking import ascending, null_safe_join, row_numbers
+from daygrid.operators.ranking import ascending, row_numbers
 
 WEEK_KEYS = ("calendar_id", "year", "week")
 # Order of blank slot rows and slot number of timed items.
@@ -40,22 +40,24 @@ def week_slots(items: DataFrame) -> DataFrame:
     )
 
 
-def date_spine(dated: DataFrame) -> DataFrame:
-    """Workdays between the first and the last date of each calendar year."""
+def spine_bounds(dated: DataFrame) -> DataFrame:
+    """First and last date of each calendar year."""
     year = F.year("session_date").alias("year")
-    bounds = dated.groupBy("calendar_id", year).agg(
+    return dated.groupBy("calendar_id", year).agg(
         F.min("session_date").alias("lo"), F.max("session_date").alias("hi")
     )
+
+
+def date_spine(bounds: DataFrame) -> DataFrame:
+    """Workdays between the first and the last date of each calendar year."""
     days = bounds.select("calendar_id", F.explode(F.sequence("lo", "hi")).alias("session_date"))
     return with_week(days.where(is_workday(F.col("session_date"))))
 
 
-def first_banners(items: DataFrame) -> DataFrame:
-    """The banner each date shows for a description: lowest order, then colour and officer.
-
-    A minimum of structs combines before the shuffle; the null flags sort nulls last.
-    """
-    rank = F.struct(
+def banner_rank() -> Column:
+    """What tells the banner that a date shows for a description: lowest order, then colour and
+    officer. The null flags sort nulls last in a minimum."""
+    return F.struct(
         F.col("display_order").isNull().alias("no_order"),
         "display_order",
         F.col("color").isNull().alias("no_color"),
@@ -63,39 +65,22 @@ def first_banners(items: DataFrame) -> DataFrame:
         F.col("officer_code").isNull().alias("no_officer"),
         "officer_code",
     )
-    return (
-        banner_items(items)
-        .groupBy("calendar_id", "session_date", "description")
-        .agg(F.min(rank).alias("first"))
-        .select(
-            "calendar_id",
-            "session_date",
-            "description",
-            "first.color",
-            "first.officer_code",
-            "first.display_order",
-        )
-    )
 
 
-def slot_aligned(items: DataFrame, slots: DataFrame, spine: DataFrame) -> DataFrame:
+def slot_aligned(days: DataFrame) -> DataFrame:
     """Every slot of the week on every spine day: the day's banner, or a blank row.
 
-    ``slot_pos`` stays for placing the rows in the day.
+    ``days`` are the week rows' days. ``slot_pos`` stays for placing the rows in the day.
     """
-    numbers = slots.select(*WEEK_KEYS, "description", "row_num", "slot_pos")
-    wanted = spine.join(numbers, [*WEEK_KEYS])
-    banners = first_banners(items).withColumn("found", F.lit(True))
-    rows = null_safe_join(wanted, banners, ["calendar_id", "session_date", "description"], "left")
-    found = F.col("found").isNotNull()
-    return rows.select(
+    found = F.col("cell").isNotNull()
+    return days.select(
         "calendar_id",
         "session_date",
         F.lit("").alias("start_time"),
         F.when(found, F.col("description")).otherwise("").alias("description"),
-        F.when(found, F.col("color")).otherwise("").alias("color"),
-        F.when(found, F.col("officer_code")).otherwise("").alias("officer_code"),
-        F.when(found, F.col("display_order")).otherwise(BLANK_ORDER).alias("display_order"),
+        F.when(found, F.col("cell.color")).otherwise("").alias("color"),
+        F.when(found, F.col("cell.officer_code")).otherwise("").alias("officer_code"),
+        F.when(found, F.col("cell.display_order")).otherwise(BLANK_ORDER).alias("display_order"),
         "year",
         "week",
         "row_num",
@@ -103,12 +88,11 @@ def slot_aligned(items: DataFrame, slots: DataFrame, spine: DataFrame) -> DataFr
     )
 
 
-def days_with_rows(items: DataFrame, spine: DataFrame) -> DataFrame:
+def days_with_rows(slots: DataFrame, timed: DataFrame, spine: DataFrame) -> DataFrame:
     """Distinct days that have slotted rows, from key columns alone."""
     keys = ["calendar_id", "session_date"]
-    banner_weeks = banner_items(items).select(*WEEK_KEYS).distinct()
-    aligned = spine.join(banner_weeks, [*WEEK_KEYS], "left_semi")
-    return aligned.select(*keys).unionByName(timed_items(items).select(*keys)).distinct()
+    aligned = spine.join(slots.select(*WEEK_KEYS).distinct(), [*WEEK_KEYS], "left_semi")
+    return aligned.select(*keys).unionByName(timed.select(*keys)).distinct()
 
 
 def slotted(aligned: DataFrame, items: DataFrame) -> DataFrame:

@@ -35,14 +35,15 @@ def argb_of(color: Column, palette: Mapping[str, str]) -> Column:
     return F.try_element_at(known, color_name(color))
 
 
+def strict_argb(color: Column, palette: Mapping[str, str]) -> Column:
+    """`argb_of` that fails the job on a name that the palette lacks."""
+    unknown = F.raise_error(F.concat(F.lit("unknown colour "), color_name(color)))
+    return F.coalesce(argb_of(color, palette), unknown)
+
+
 def with_argb(items: DataFrame, palette: Mapping[str, str], strict: bool = True) -> DataFrame:
     """Adds ``argb``. An unknown colour fails the job when ``strict`` and is null otherwise."""
-    argb = argb_of(F.col("color"), palette)
-    if strict:
-        argb = F.coalesce(
-            argb, F.raise_error(F.concat(F.lit("unknown colour "), color_name(F.col("color"))))
-        )
-    return items.withColumn("argb", argb)
+    return items.withColumn("argb", (strict_argb if strict else argb_of)(F.col("color"), palette))
 
 
 def with_tag(items: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import rows_of_year
-from daygrid.functions.text import Abbreviation, is_blank, starts_with_digit
-from daygrid.operators import layout, months, slots, wording
+from daygrid.functions.text import Abbreviation, starts_with_digit
+from daygrid.operators import layout, months, slots, weekrows, wording
 from daygrid.operators.items import calendar_items
 from daygrid.plans.staging import drop_staged, stage
 from daygrid.sources.dimensions import Rule, special_days
@@ -20,12 +20,12 @@ class Calendar:
     """Calendar tables of all calendars and years in the input.
 
     The items are staged once, because banners and timed items are read apart. So are
-    the week slots, the banners of the grid and its rows; a property that builds on one
-    of these writes it first, `prepare` writes all but the rows. `close`, or leaving a
+    the week rows of the banners and the numbered timed items; a property that builds on one
+    of these writes it first, `prepare` writes all of them. `close`, or leaving a
     ``with`` block, deletes what this calendar staged.
     """
 
-    _STAGED = ("items", "week_slots", "marked_banners", "moved_banners")
+    _STAGED = ("items", "week_rows", "timed")
 
     def __init__(
         self,
@@ -100,16 +100,31 @@ class Calendar:
         return slots.week_slots(self.items)
 
     @cached_property
+    def week_rows(self) -> DataFrame:
+        """Every slot of a week with its five days: see `weekrows.week_rows`."""
+        return self._stage(weekrows.week_rows(self.items, self.palette), "weeks")
+
+    @property
     def week_slots(self) -> DataFrame:
-        return self._stage(self.unstaged_week_slots, "slots")
+        return self.week_rows.drop("rows_0", "rows_1", "days")
+
+    @cached_property
+    def timed(self) -> DataFrame:
+        """Timed items of workdays with their place in the day."""
+        timed = layout.on_workdays(slots.timed_items(self.items))
+        return self._stage(layout.timed_positions(timed), "timed")
+
+    @property
+    def spine_bounds(self) -> DataFrame:
+        return slots.spine_bounds(self.dated)
 
     @property
     def date_spine(self) -> DataFrame:
-        return slots.date_spine(self.dated)
+        return slots.date_spine(self.spine_bounds)
 
     @property
     def slot_aligned(self) -> DataFrame:
-        return slots.slot_aligned(self.items, self.week_slots, self.date_spine)
+        return slots.slot_aligned(weekrows.aligned_days(self.week_rows, self.spine_bounds))
 
     @property
     def slotted(self) -> DataFrame:
@@ -117,19 +132,15 @@ class Calendar:
 
     @property
     def day_positions(self) -> DataFrame:
-        return layout.day_positions(
-            self.slot_aligned,
-            layout.on_workdays(slots.timed_items(self.items)).drop("month", "dow"),
-            self.week_slots,
-        )
+        return layout.day_positions(self.slot_aligned, self.timed, weekrows.week_sizes(self.week_rows))
 
     @property
     def calendar_positions(self) -> DataFrame:
         """`day_positions` on every workday of the calendar years, empty ones included."""
         return layout.on_calendar(
-            months.workdays_of(months.calendar_years(self.items)),
+            months.workdays_of(self.years),
             self.day_positions,
-            slots.days_with_rows(self.items, self.date_spine),
+            slots.days_with_rows(self.week_rows, self.timed, self.date_spine),
         )
 
     def worded(self, placed: DataFrame) -> DataFrame:
@@ -140,94 +151,69 @@ class Calendar:
     @property
     def item_grid(self) -> DataFrame:
         """Tagged texts by week, position and weekday, blank slot rows included."""
-        return layout.item_grid(self.worded(layout.on_workdays(self.day_positions)))
-
-    @property
-    def banner_cells(self) -> DataFrame:
-        """Non-blank banner cells at their position after blank rows are dropped."""
-        banners = slots.with_week(slots.first_banners(self.items)).where(
-            ~is_blank(F.col("description"))
+        banners = weekrows.banner_grid(self.week_rows, self.spine_bounds)
+        timed = layout.item_grid(self._placed_timed("slots"))
+        return banners.select(*timed.columns).unionByName(timed)
+
+    def _placed_timed(self, *sizes: str) -> DataFrame:
+        """Timed cells after the rows of the week that ``sizes`` counts, with their place among
+        the timed items of the day. No such text is blank: it holds the brackets of its officer."""
+        placed = self.worded(self.timed).join(
+            weekrows.week_sizes(self.week_rows), [*slots.WEEK_KEYS], "left"
         )
-        placed = layout.on_workdays(banners).join(
-            self.week_slots.select(*slots.WEEK_KEYS, "description", F.col("slot_pos").alias("pos")),
-            [*slots.WEEK_KEYS, "description"],
+        side = weekrows.month_side(F.col("session_date"))
+        rows = F.col("slots") if sizes else F.when(side == 0, F.col("rows_0")).otherwise(F.col("rows_1"))
+        last = F.col("lasts")[F.col("dow") - 1]
+        return placed.select(
+            *layout.BLOCK_KEYS,
+            "session_date",
+            "dow",
+            (F.coalesce(rows, F.lit(0)) + F.col("timed_pos")).alias("pos"),
+            "tagged",
+            (F.coalesce(last, F.lit(0)) + F.col("timed_pos")).alias("risen_pos"),
         )
-        rows = layout.drop_blank_rows(placed).withColumn("start_time", F.lit(""))
-        return _cell_columns(self.worded(rows))
-
-    @cached_property
-    def marked_banners(self) -> DataFrame:
-        """Decoded banner cells and their runs of equal neighbours."""
-        return self._stage(layout.decode(layout.mark_spans(self.banner_cells)), "cells")
-
-    @cached_property
-    def moved_banners(self) -> DataFrame:
-        return self._stage(layout.compact(self.marked_banners), "banners")
 
     @property
     def timed_cells(self) -> DataFrame:
-        """Timed cells after the last banner row of the week, and their place ``timed_pos``
-        among the timed items of the day. No such text is blank: it holds the brackets of
-        its officer."""
-        timed = layout.on_workdays(slots.timed_items(self.items))
-        keys = [*layout.BLOCK_KEYS]
-        sizes = self.marked_banners.groupBy(*keys).agg(F.max("pos").alias("_rows"))
-        placed = (
-            self.worded(layout.timed_positions(timed))
-            .join(sizes, keys, "left")
-            .withColumn("pos", F.coalesce("_rows", F.lit(0)) + F.col("timed_pos"))
-        )
-        return _cell_columns(placed, "timed_pos")
+        """Timed cells after the last banner row of the week that shows something. ``risen_pos``
+        is their place if they follow the last banner of their day."""
+        return self._placed_timed()
 
     @property
-    def marked_timed(self) -> DataFrame:
-        """Timed cells with their runs. Only texts that don't start with a digit, as those
-        without a readable time, can be in one."""
-        cells = self.timed_cells
-        labelled = starts_with_digit(F.col("tagged"))
-        nowhere = F.lit(None).cast("int")
-        alone = cells.where(labelled).withColumns({"span_first": nowhere, "span_days": nowhere})
-        return alone.unionByName(layout.mark_spans(cells.where(~labelled)))
+    def loose_cells(self) -> DataFrame:
+        """Timed cells that may merge, with their runs: those without a readable time, whose texts
+        don't start with a digit."""
+        return layout.mark_spans(self.timed_cells.where(~starts_with_digit(F.col("tagged"))))
 
     @property
     def span_runs(self) -> DataFrame:
-        loose = layout.mark_spans(self.timed_cells.where(~starts_with_digit(F.col("tagged"))))
-        banners = self.marked_banners
-        columns = [c for c in loose.columns if c in banners.columns]
-        return layout.span_runs(banners.select(*columns).unionByName(loose.select(*columns)))
+        runs = layout.span_runs(weekrows.banner_cells(self.week_rows))
+        return runs.unionByName(layout.span_runs(self.loose_cells))
 
     @property
     def compacted_cells(self) -> DataFrame:
-        """Cells with their position before and after they move up.
+        """Cells with their position before and after they move up; cells that vanish are gone.
 
         Timed cells fill their day without gaps. So they follow its last banner, merged or
         moved, down to the first merged one among them; that one and all below it stay.
         """
-        banners, timed = self.moved_banners, self.marked_timed
+        nowhere = F.lit(None).cast("int")
+        loose = self.loose_cells
+        labelled = self.timed_cells.where(starts_with_digit(F.col("tagged")))
+        timed = labelled.withColumns({"span_first": nowhere, "span_days": nowhere}).unionByName(loose)
         keys = [*layout.DAY_KEYS]
-        floors = banners.groupBy(*keys).agg(F.max("new_pos").alias("_floor"))
         walls = (
-            timed.where(F.col("span_days").isNotNull())
-            .groupBy(*keys)
-            .agg(F.min("pos").alias("_wall"))
+            loose.where(F.col("span_days").isNotNull()).groupBy(*keys).agg(F.min("pos").alias("wall"))
         )
-        stays = F.coalesce(F.col("pos") >= F.col("_wall"), F.lit(False))
-        moved = F.coalesce("_floor", F.lit(0)) + F.col("timed_pos")
-        placed = (
-            layout.decode(timed)
-            .join(floors, keys, "left")
-            .join(walls, keys, "left")
-            .withColumn("new_pos", F.when(stays, F.col("pos")).otherwise(moved))
+        stays = F.coalesce(F.col("pos") >= F.col("wall"), F.lit(False))
+        placed = layout.decode(timed.join(walls, keys, "left")).withColumn(
+            "new_pos", F.when(stays, F.col("pos")).otherwise(F.col("risen_pos"))
         )
+        banners = weekrows.banner_cells(self.week_rows).where(F.col("new_pos").isNotNull())
         return banners.unionByName(placed.select(*banners.columns))
 
     @property
     def final_grid(self) -> DataFrame:
         """Day-number rows and item rows of every month, numbered from its top."""
-        body = layout.wide_rows(self.compacted_cells)
-        heads = layout.day_rows(months.month_day_grid(months.calendar_years(self.items)))
-        return layout.number_rows(self._stage(heads.unionByName(body), "rows"))
-
-
-def _cell_columns(cells: DataFrame, *more: str) -> DataFrame:
-    return cells.select(*layout.BLOCK_KEYS, "session_date", "dow", "pos", "tagged", *more)
+        heads = layout.day_rows(months.month_day_grid(self.years))
+        return layout.grid_rows(heads, self.compacted_cells)

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from daygrid.operators import checks, items, slots, wording
+from daygrid.operators import checks, items, slots, weekrows, wording
 from daygrid.sources import dimensions
 from daygrid.sources.dimensions import Rule
 
@@ -152,7 +152,9 @@ def test_alignment(spark):
         (d(2025, 1, 8), "10:00", "t", None, "A", 3),
         (d(2025, 1, 8), None, "n", None, "A", 3),
     )
-    aligned = slots.slot_aligned(rows, slots.week_slots(rows), slots.date_spine(rows))
+    palette = {name: name for name in ("Black", "Blue", "Red")}
+    days = weekrows.aligned_days(weekrows.week_rows(rows, palette), slots.spine_bounds(rows))
+    aligned = slots.slot_aligned(days)
     found = [(r.session_date.day, r.row_num, r.description, r.color, r.display_order) for r in aligned.collect()]
     expected = [(3, 1, "b", "Red", 2), (3, 2, "b", "Red", 2)]
     for day in range(6, 11):

@@ -6,7 +6,7 @@ from brute import DAYS, grid
 from pyspark.sql import functions as F
 
 from daygrid.functions.text import Abbreviation
-from daygrid.operators import layout
+from daygrid.operators import layout, weekrows
 from daygrid.plans.calendar import Calendar
 from daygrid.plans.config import calendar_from_config
 from daygrid.sinks.tables import write_months
@@ -91,7 +91,8 @@ ODD_TIMES = [None, "", "ALL DAY", "9:5", "09:00"]
      (6, [*GOOD_TIMES, "0 AM", "ALL DAY"]), (7, ["0 AM", "09:00"])],
 )
 def test_grid_equals_sequential_model(spark, monkeypatch, seed, times):
-    monkeypatch.setattr("daygrid.operators.ranking.BLOCK_ROWS", 3)
+    for module in ("ranking", "layout"):
+        monkeypatch.setattr(f"daygrid.operators.{module}.BLOCK_ROWS", 3)
     calendar = calendar_of(spark, random_sessions(seed, times), random_specials(seed))
     items = [r.asDict() for r in calendar.items.collect()]
     expected = sorted(grid(items, [(a.phrase, a.abbrev) for a in ABBREVIATIONS], PALETTE), key=str)
@@ -141,17 +142,76 @@ def test_runs(spark):
     assert found == [(1, 1, 2, 2), (1, 4, 5, 2), (2, 1, 2, 2), (2, 3, 5, 3), (5, 1, 5, 5)]
 
 
-@pytest.mark.parametrize("block", [2, 3, 100])
-def test_cells_do_not_move_past_a_merged_cell(spark, monkeypatch, block):
-    monkeypatch.setattr("daygrid.operators.ranking.BLOCK_ROWS", block)
-    cells = cells_of(spark, {2: ["x-[1]"] + [None] * 4, 3: ["S-[1]", "S-[1]"] + [None] * 3,
-                             5: ["y-[1]"] + [None] * 4})
-    moved = layout.compact(layout.decode(layout.mark_spans(cells)))
-    assert sorted((r.dow, r.text, r.new_pos) for r in moved.collect()) == [
-        (1, "S", 3), (1, "x", 1), (1, "y", 4), (2, "S", 3)
+def banner_items(spark, rows):
+    """rows: [(order, text, days of the week of 30 June 2025 that show it)]"""
+    monday = dt.date(2025, 6, 30)
+    flat = [
+        ("X", monday + dt.timedelta(day - 1), "", text, None, "", order, 2025, 26)
+        for order, text, days in rows
+        for day in days
+    ]
+    schema = (
+        "calendar_id string, session_date date, start_time string, description string, color string, "
+        "officer_code string, display_order int, year int, week int"
+    )
+    return spark.createDataFrame(flat, schema)
+
+
+@pytest.mark.parametrize("shared_order", [False, True])
+def test_cells_do_not_move_past_a_merged_cell(spark, shared_order):
+    """Rows of one order are one piece of the pass over a week, rows of many are several."""
+    rows = [("a", [3]), ("b", [2]), ("c", [2, 3]), ("d", [4]), ("e", [2]), ("f", [3, 5]), ("g", [6])]
+    rows = [(1 if shared_order else n, text, days) for n, (text, days) in enumerate(rows)]
+    made = weekrows.week_rows(banner_items(spark, rows), PALETTE)
+    cells = weekrows.banner_cells(made).collect()
+    # Monday is in June; Saturday's banner has a slot and no cell.
+    assert sorted((r.text, r.dow, r.month, r.pos, r.new_pos, r.span_days) for r in cells) == [
+        ("a", 3, 7, 1, 1, None),
+        ("b", 2, 7, 2, 1, None),
+        ("c", 2, 7, 3, 3, 2),
+        ("c", 3, 7, 3, 3, 2),
+        ("d", 4, 7, 4, 1, None),
+        ("e", 2, 7, 5, 4, None),
+        ("f", 3, 7, 6, 4, None),
+        ("f", 5, 7, 6, 1, None),
+    ]
+    assert sorted((r.slot_pos, r.row_num, r.description) for r in made.collect()) == [
+        (n, n, text) for n, text in enumerate("abcdefg", start=1)
     ]
 
 
+def test_runs_end_where_the_month_does(spark):
+    rows = [(1, "June only", [1]), (2, "both", [1, 2, 3]), (3, "July", [2, 3])]
+    made = weekrows.week_rows(banner_items(spark, rows), PALETTE)
+    cells = weekrows.banner_cells(made).collect()
+    assert sorted((r.text, r.dow, r.month, r.pos, r.new_pos, r.span_first, r.span_days) for r in cells) == [
+        ("July", 2, 7, 2, 2, 2, 2),
+        ("July", 3, 7, 2, 2, 2, 2),
+        ("June only", 1, 6, 1, 1, None, None),
+        ("both", 1, 6, 2, 2, None, None),
+        ("both", 2, 7, 1, 1, 2, 2),
+        ("both", 3, 7, 1, 1, 2, 2),
+    ]
+
+
+def exchanges(frame):
+    """Exchanges and windows of the plan, those of broadcasts left out."""
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    executed = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    return executed.count(" Exchange "), plan.count("Window ")
+
+
+def test_plans_over_week_rows_are_short(spark):
+    with calendar_of(spark, random_sessions(1, GOOD_TIMES), random_specials(1)) as calendar:
+        shuffles, windows = exchanges(calendar.span_runs)
+        assert windows == 0 and shuffles <= 2
+        shuffles, windows = exchanges(weekrows.banner_cells(calendar.week_rows))
+        assert (shuffles, windows) == (0, 0)
+        shuffles, windows = exchanges(calendar.slot_aligned)
+        assert windows == 0 and shuffles == 1
+        assert exchanges(calendar.compacted_cells)[1] == 0
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_compaction_keeps_cells_and_order(spark, seed):
     calendar = calendar_of(spark, random_sessions(seed, ODD_TIMES), random_specials(seed))
@@ -225,7 +285,7 @@ def test_closing_deletes_what_a_calendar_staged(spark, tmp_path, monkeypatch):
     other = calendar_of(spark, random_sessions(2, GOOD_TIMES), random_specials(2)).prepare()
     with calendar_of(spark, random_sessions(1, GOOD_TIMES), random_specials(1)) as calendar:
         first = rows_of(calendar.final_grid)
-    assert len(list((scratch / "daygrid").iterdir())) == 4
+    assert len(list((scratch / "daygrid").iterdir())) == 3
     assert other.items.count() and rows_of(calendar.final_grid) == first
     other.close()
     calendar.close()

@@ -36,16 +36,23 @@ def test_row_numbers(rows):
 def test_no_window_sorts_a_whole_group(rows):
     found = ranking.row_numbers(rows, {"n": ["k"]}, ["a", "b"], [F.col("a")])
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    sorts = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
+    sorts = [line for line in plan.splitlines() if "Window" in line and "sum(1)" in line]
     assert sorts and all("[_piece" in line for line in sorts)
 
 
-def test_dense_numbers(rows, monkeypatch):
-    monkeypatch.setattr(ranking, "BLOCK_ROWS", 50)
-    filled = rows.na.fill({"k": "none", "b": -1})
-    expected = filled.withColumn("n", F.dense_rank().over(W.partitionBy("k").orderBy("b")))
-    found = ranking.dense_numbers(filled, ["k"], "b", "n").select(*expected.columns)
-    assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
+def test_running_state(rows):
+    order = [F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last()]
+    number, top = F.coalesce(F.col("b") % 3, F.lit(1)), F.col("b") % 7 == 0
+    through = W.partitionBy("k").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    expected = rows.withColumn("s", F.sum(number).over(through)).withColumn(
+        "t", F.max(F.when(top, F.col("s"))).over(through)
+    )
+    pieces = [F.col("a"), F.floor(F.col("b") / 50)]
+    found = ranking.running_state(
+        rows, ["a", "b"], pieces, {"s": (["k"], number)}, {"t": ("s", top)}
+    )
+    assert found.columns == expected.columns
+    assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
 
 
 def test_null_keys_match(spark):
