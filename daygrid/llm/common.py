@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _own_scratch: tempfile.TemporaryDirectory | None = None
+#: Scratch tables that this process wrote and did not delete.
+_written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -27,7 +29,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _own_scratch is None:
             _own_scratch = tempfile.TemporaryDirectory(prefix="daygrid-llm-")
         named = _own_scratch.name
-    return f"{named.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = f"{named.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def staged(frame: DataFrame, label: str) -> DataFrame:
@@ -37,10 +41,27 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch table by Spark's own file system access."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def scratch_tables() -> list[str]:
+    """Scratch tables that are there, in the order they were written."""
+    return list(_written)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Deletes scratch tables by Spark's own file system access, all of this process if none are
+    named. Frames that read them can't be run any more: call it once results are written."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in scratch_tables() if paths is None else paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        if path in _written:
+            _written.remove(path)
+
+
+def staged_in_place_of(frame: DataFrame, label: str, mark: int) -> DataFrame:
+    """``staged``, after which the scratch tables written since ``mark`` tables are deleted."""
+    made = staged(frame, label)
+    drop_scratch(frame.sparkSession, scratch_tables()[mark:-1])
+    return made
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,13 +71,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def per_row(
     frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:
-    """Maps Arrow batches, ``ROWS`` rows at most at a time, to batches of ``schema``.
+    """Maps Arrow batches, ``ROWS`` rows at most at a time, to batches of ``schema``. Spark
+    bounds a batch by rows and bytes (``spark.sql.execution.arrow.maxBytesPerBatch``).
 
     ``make`` gets a batch and returns a list or array for every output column.
     """
     fields = frame.sparkSession.createDataFrame([], schema).schema.fields
     names = [field.name for field in fields]
-    small_batches(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -76,7 +97,6 @@ def per_batch(
     frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int
 ) -> DataFrame:
     """Maps Arrow batches, ``rows`` rows at most at a time, to batches of ``schema``."""
-    small_batches(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,15 +118,6 @@ def free_names(frame: DataFrame, *stems: str) -> list[str]:
     return out
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batch size, so that a batch of long texts fits in memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH:
-        spark.conf.set(key, str(BATCH))
-
-
-#: Rows that Spark sends to a Python step at a time.
-BATCH = 1024
 #: Rows that a Python step holds as objects at a time; bounds memory, drops nothing.
 ROWS = 256
 

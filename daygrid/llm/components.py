@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import staged
+from daygrid.llm.common import scratch_tables, staged, staged_in_place_of
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,11 +30,13 @@ def components(pairs: DataFrame) -> DataFrame:
     Null ends and loops are no links. Both steps only aggregate and join on nodes, and no
     neighbour list is ever gathered, so a node with very many links is no single task's
     work: minima combine before the shuffle and Spark splits the joins' large partitions.
-    Every round is written to the shared folder. Rounds end when nothing changes.
+    Every round is written to the shared folder in place of the one before. Rounds end when
+    nothing changes.
     """
     links = pairs.where("a is not null and b is not null and a != b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
+    begun = len(scratch_tables())
     edges = staged(links.distinct(), "edges")
     mark = None
     while True:
@@ -44,6 +46,6 @@ def components(pairs: DataFrame) -> DataFrame:
         if now == mark or now[0] == 0:
             break
         mark = now
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        edges = staged_in_place_of(_small_star(_large_star(edges)), "edges", begun)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

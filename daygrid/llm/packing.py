@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import ROWS, WordCache, small_batches, staged
+from daygrid.llm.common import ROWS, WordCache, staged
 
 WINDOW = 4096
 #: Tokens of a length unit: combinations are of lengths rounded up to units, cuts are between them.
@@ -324,7 +324,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     own; a null doc_id stays null.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    small_batches(docs.sparkSession)
     pieces = staged(
         source.mapInArrow(
             _lengths(path),

@@ -44,11 +44,25 @@ _AMBIGUOUS = set(
     "side foot notice alert dialog menu navigation banner promotion advertising comment reply respond "
     "discussion share sharing social follow related search subscription header skip".split()
 )
+#: Ambiguous words that also title a part of a text, and words that say nothing beside others.
+_TOPICS = set(
+    "side foot menu navigation discussion share sharing social follow search subscription header respond".split()
+)
+_FILLERS = set(
+    "list lists thread threads form box area section bar wrap wrapper container holder block inner outer "
+    "item items info panel unit slot row top bottom by google".split()
+)
+#: Clear words that stand together with a filler as one.
+_COMPOUND = re.compile(
+    r"(?:comment|disqus|sidebar|advert|sponsor|cookie|newsletter|breadcrumb|promo|ads)(?:%s|bygoogle)"
+    % "|".join(sorted(_FILLERS, key=len, reverse=True))
+)
 _NAMED = set("article main content story post entry body".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
     "span strike strong sub sup time tt u var wbr input picture source link meta base".split()
 )
+_INLINE_BOXES = {"ins", "span"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _CONTAINERS = set(
     "article main section div nav header footer aside form ul ol dl table tbody thead tfoot tr td th li "
@@ -95,6 +109,23 @@ def _place(tag: str) -> str:
     return {"td": "td", "th": "td", "pre": "pre", "a": "a"}.get(tag, "div")
 
 
+def _against(tag: str, attribute: str, part: str) -> str:
+    """How a word group of a class, id or role speaks against an element: a key of NAMED_OTHER, or
+    nothing. Groups of such words alone speak fully, unless they can also title a part of a text."""
+    words = _WORD.findall(_CAMEL.sub(r"\1 \2", part).lower())
+    if len(words) > 3:
+        return ""
+    compound = {w for w in words if _COMPOUND.fullmatch(w)}
+    found = compound.union(_OTHER.intersection(words))
+    if not found:
+        return ""
+    clear = attribute == "role" or bool(found - _AMBIGUOUS)
+    topic = found <= _TOPICS and (attribute == "id" or tag == "section" or "header" in found)
+    if found.union(_FILLERS).issuperset(words) and (clear or not topic):
+        return "full"
+    return "part" if clear else "weak"
+
+
 def _role(tag: str, attributes: str) -> str:
     """What an element says of its text: 'h' hidden, 'm' main text, 'n' main text by its name
     only, 'x' other matter, a key of NAMED_OTHER if its name speaks against it, else ''."""
@@ -109,14 +140,12 @@ def _role(tag: str, attributes: str) -> str:
         if name not in ("class", "id", "role", "itemprop"):
             continue
         for part in value.split():
-            words = set(parts if len(parts := _WORD.findall(_CAMEL.sub(r"\1 \2", part).lower())) < 4 else ())
-            named = named or bool(words & _NAMED)
-            if found := words & _OTHER:
-                clear = name == "role" or found - _AMBIGUOUS
-                kind = ("full" if found == words else "part") if clear else "weak"
+            words = _WORD.findall(_CAMEL.sub(r"\1 \2", part).lower())
+            named = named or len(words) < 4 and not _NAMED.isdisjoint(words)
+            if kind := _against(tag, name, part):
                 other = min(other or kind, kind, key=("full", "part", "weak").index)
     if tag in _MAIN:
-        return "m"
+        return other if other == "full" and tag == "article" and not named else "m"
     if tag in _DROPPED or covered:
         return "x"
     if tag == "form":
@@ -155,6 +184,10 @@ class _Open:
     def place(self) -> int:
         return self.stack[-1][1] if self.stack else 0
 
+    def inner(self) -> str:
+        """The kind of text in the innermost block that is open."""
+        return next((_place(tag) for tag, _ in reversed(self.stack) if tag not in _INLINE_BOXES), "div")
+
 
 class _Places:
     """Kinds of places in a page; each is made from the one around it and an element's role."""
@@ -238,7 +271,7 @@ def tokens(html: str) -> list[tuple]:
             if text.strip():
                 kind = "w:link" if links else f"w:{inner}"
                 out.append(("w", kind, text, here, block))
-            elif out and out[-1][0] == "w":
+            elif out:
                 out.append(("w", "", " ", here, block))
         at = found.end()
         name = found[3]
@@ -256,10 +289,18 @@ def tokens(html: str) -> list[tuple]:
             block += 1
             inner = "div" if closing else place
             links = 0 if tag in _CLOSES_P else links
-        if tag in _CONTAINERS:
+        if tag in _INLINE_BOXES:  # held open for its name, but no block of its own
+            if closing:
+                opened.close(tag)
+            else:
+                role = _role(tag, found[4])
+                role = role if role in ("full", "h", "x") else ""
+                opened.push(tag, lambda outer, tag=tag, role=role: places.inside(outer, tag, role))
+            here = opened.place()
+        elif tag in _CONTAINERS:
             if closing:
                 opened.close(tag)
-                inner = _place(opened.stack[-1][0]) if opened.stack else "div"
+                inner = opened.inner()
             else:
                 role = _role(tag, found[4])
                 opened.push(tag, lambda outer, tag=tag, role=role: places.inside(outer, tag, role))
@@ -409,7 +450,9 @@ def extract(
     pages: DataFrame, weights: dict[str, float], id_col="page_id", url_col="url", html_col="html"
 ) -> DataFrame:
     """page_id, url, text, n_chars for every row; null or empty html and pages without words
-    give an empty text. Rows that repeat are extracted each. Whole pages are read."""
+    give an empty text. Rows that repeat are extracted each, a null page_id stays null, and of
+    equally good regions the first is taken. An empty table gives an empty result. Whole pages are
+    read, columns other than the three named ones are not."""
 
     def make(batch):
         texts = [main_text(h, weights) for h in batch.column(2).to_pylist()]

@@ -83,6 +83,7 @@ class Discriminant:
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
     means: np.ndarray | None = None
+    #: Inverses of the Cholesky factors, lower triangular like these.
     factors: np.ndarray | None = None
     log_dets: np.ndarray | None = None
 
@@ -93,7 +94,7 @@ class Discriminant:
         x = (rows - self.centre) / self.scale
         logs = []
         for mean, factor, log_det in zip(self.means, self.factors, self.log_dets, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)
+            z = factor @ (x - mean).T
             logs.append(-0.5 * (z * z).sum(axis=0) - 0.5 * log_det)
         odds = logs[1] - logs[0] + np.log(self.prior / (1 - self.prior))
         return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
@@ -122,11 +123,12 @@ def _discriminant(moments: dict[int, tuple[int, np.ndarray, np.ndarray]]) -> Dis
     ]
     factors = [np.linalg.cholesky((1 - SHRINKAGE) * c + SHRINKAGE * target) for c in covariances]
     log_dets = [2 * np.log(np.diag(f)).sum() for f in factors]
-    return Discriminant(prior, centre, scale, np.array(means), np.array(factors), np.array(log_dets))
+    inverses = [np.tril(np.linalg.inv(f)) for f in factors]
+    return Discriminant(prior, centre, scale, np.array(means), np.array(inverses), np.array(log_dets))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
-    """Discriminant of all labelled rows that aren't held out.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Discriminant:
+    """Discriminant of all labelled rows that aren't held out. ``labels`` has doc_id and quality.
 
     Moments are sums that Spark makes on all rows; two vectors and matrices of fixed size
     reach the driver. Labels other than 0 and 1 and null ids teach nothing. An id with
@@ -143,7 +145,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
         .where(~held_out(F.col("doc_id")))
         .distinct()
     )
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    source = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
+    )
     source = source.where("doc_id is not null").where(~held_out(F.col("doc_id")))
     rows = per_row(source, "doc_id long, x array<double>", make).join(marks, "doc_id")
     width = len(STATISTICS)
@@ -168,13 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
 
 
 def score(docs: DataFrame, model: Discriminant, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; null and empty texts are scored too."""
+    """doc_id, held_out, score, predicted for every row; null and empty texts are scored too, as
+    texts of no words. Rows that repeat are scored each and alike, also without an id; an empty table
+    gives an empty result. Other columns are not read.
+    """
 
     def make(batch):
         rows = np.array([statistics(t) for t in batch.column(1).to_pylist()])
         return {"doc_id": batch.column(0), "score": model.scores(rows)}
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
+    )
     return per_row(source, "doc_id long, score double", make).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

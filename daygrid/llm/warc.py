@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import small_batches
 
 #: Letters of base32 (fixed values of RFC 4648).
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -182,7 +181,6 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 yield _frame(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    small_batches(spark)
     return files.mapInPandas(
         run,
         "page_id long, record_type string, record_id string, url string, payload_digest string, "

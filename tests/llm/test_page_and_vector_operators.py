@@ -75,6 +75,39 @@ def test_main_text_in_elements_whose_names_speak_against_it():
         assert pages.main_text(page, weights) == f"{line}\nMore\n{line}\n{line}", page
 
 
+OTHER_MATTER = [
+    '<div class="comment">{}</div>', '<article class="comment">{}</article>', '<div id="disqus_thread">{}</div>',
+    '<div class="notice">{}</div>', '<div class="alert alert-info">{}</div>', '<div class="cookie-bar">{}</div>',
+    '<div class="advertising">{}</div>', '<div class="promotion">{}</div>', '<div class="banner">{}</div>',
+    '<div class="related">{}</div>', '<ins class="adsbygoogle">{}</ins>', '<ol class="commentlist"><li>{}</li></ol>',
+    '<span class="advert">{}</span>', '<div class="commentThread">{}</div>', '<section class="comments">{}</section>',
+    '<section class="reply">{}</section>', '<div id="newsletter-box">{}</div>', '<ul class="breadcrumbs"><li>{}</ul>',
+]
+
+
+@pytest.mark.parametrize("box", OTHER_MATTER)
+def test_main_text_without_comments_notices_and_adverts(box):
+    """Within an article, beside one, and on pages that mark none."""
+    first = "The first words of a long paragraph that the page is about."
+    last = "And the last words of it, which come after what has to go."
+    matter = box.format("Words of a reader or a seller that belong to no article, said at some length.")
+    weights = dict(pages.PRIOR)
+    for page in (
+        f"<body><article><p>{first}</p>{matter}<p>{last}</p></article>",
+        f"<body><article><p>{first}</p><p>{last}</p></article>{matter}",
+        f"<body><main><article><p>{first}</p><p>{last}</p></article>{matter}</main>",
+        f"<body><div><p>{first}</p>{matter}<p>{last}</p></div>",
+        f"<body><p>{first}</p><p>{last}</p>{matter}",
+    ):
+        assert pages.main_text(page, weights) == f"{first}\n{last}", page
+
+
+def test_inline_boxes_keep_their_words():
+    page = "<article><p>One <span class=x>two <span>three</span> four</span> <ins>five</ins> six</p><p>Seven</p></article>"
+    assert pages.main_text(page, dict(pages.PRIOR)) == "One two three four five six\nSeven"
+    assert pages.main_text("<p><b>one</b> <i>two</i>three</p> <p>four</p>", dict(pages.PRIOR)) == "one twothree\nfour"
+
+
 def test_main_text_of_long_and_deep_pages():
     weights = dict(pages.PRIOR)
     cells = "".join(f"<tr><td>first {k}<td>second {k}" for k in range(600))

@@ -1,6 +1,8 @@
 """Quality, SimHash, suffixes, pieces, token counts and packing against brute force."""
 
+import math
 import random
+import re
 from collections import Counter
 from hashlib import sha256
 from zlib import crc32
@@ -76,6 +78,66 @@ def test_quality_learns_and_holds_out(spark):
         assert row.held_out == (crc32(str(row.doc_id).encode()) % 3 == 1)
 
 
+def brute_statistics(text):
+    """The document statistics by plain loops over characters and words."""
+    text = text or ""
+    data = text.encode()
+    words, lines = re.findall(rb"[^ \t-\r]+", data), data.split(b"\n")
+    upper, lower = len(re.findall(rb"[A-Z]", data)), len(re.findall(rb"[a-z]", data))
+    inked = max(1, sum(c not in b" \t\n\x0b\x0c\r" for c in data))
+    n = max(1, len(words))
+    marks = [c for c in data if 32 < c < 127 and not chr(c).isalnum()]
+    shares = [
+        upper / max(1, upper + lower),
+        len(marks) / inked,
+        sum(chr(c) not in ".,;:'\"()-?!" for c in marks) / inked,
+        data.count(b"!") / inked,
+        data.count(b"|") / inked,
+        len(re.findall(rb"[0-9]", data)) / inked,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        1 - len(set(lines)) / len(lines),
+        sum(a == b for a, b in zip(data, data[1:], strict=False)) / max(1, len(data)),
+    ]
+    arcs = [math.asin(math.sqrt(s)) for s in shares]
+    herdan = math.log1p(len(set(words))) / math.log1p(n)
+    return [math.log1p(len(data)), *arcs[:6], herdan, *arcs[6:8], math.log1p(inked / n), arcs[8]]
+
+
+def brute_scores(texts, labels):
+    """Scores of {id: text} from {id: label}, with whole covariance matrices and no factors."""
+    x = {i: np.array(brute_statistics(t)) for i, t in texts.items()}
+    learned = {k: [x[i] for i, q in labels.items() if q == k and i in x and crc32(str(i).encode()) % 3 != 1] for k in (0, 1)}
+    everything = np.array(learned[0] + learned[1])
+    centre, scale = everything.mean(axis=0), np.sqrt(np.maximum(everything.var(axis=0), 1e-8))
+    z = {k: (np.array(rows) - centre) / scale for k, rows in learned.items()}
+    n = {k: len(rows) for k, rows in z.items()}
+    own = {k: np.cov(rows.T, bias=True) for k, rows in z.items()}
+    pooled = (n[0] * own[0] + n[1] * own[1]) / (n[0] + n[1])
+    prior = (n[1] + 1) / (n[0] + n[1] + 2)
+    logs = []
+    for k in (0, 1):
+        mixed = (n[k] * own[k] + quality.POOLED_ROWS * pooled) / (n[k] + quality.POOLED_ROWS)
+        target = np.diag(np.maximum(np.diag(pooled), 1e-3))
+        covariance = (1 - quality.SHRINKAGE) * mixed + quality.SHRINKAGE * target
+        inverse, log_det = np.linalg.inv(covariance), np.linalg.slogdet(covariance)[1]
+        mean = z[k].mean(axis=0)
+        logs.append({i: -0.5 * ((v - centre) / scale - mean) @ inverse @ ((v - centre) / scale - mean) - 0.5 * log_det for i, v in x.items()})
+    odds = {i: logs[1][i] - logs[0][i] + math.log(prior / (1 - prior)) for i in x}
+    return {i: 1 / (1 + math.exp(-max(-700, min(700, o)))) for i, o in odds.items()}
+
+
+def test_quality_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    expected = brute_scores(texts, labels)
+    rows = REGISTRY["op1_quality"](spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for row in rows:
+        assert abs(row.score - expected[row.doc_id]) < 1e-9
+        assert row.predicted == int(row.score >= 0.5)
+
+
 def test_quality_of_hard_texts(spark, hard):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, 0), (3, 7, 0)], "doc_id long, quality int, toxic int")
     rows = quality.score(hard, quality.fit(hard, labels)).collect()
@@ -178,6 +240,27 @@ def test_keep_one_leaves_a_column_of_its_key_name(spark):
     assert [tuple(r) for r in simhash.keep_one(rows).collect()] == [(1, "a b c", "x")]
 
 
+def test_scratch_tables_go(spark):
+    """Rounds replace each other, the pipeline leaves its result, and no session setting changes."""
+    import os
+
+    import corpus_pipeline
+    from daygrid.llm import common
+
+    before = dict(spark.conf.getAll)
+    begun = common.scratch_tables()
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert components(pairs).count() == 41
+    made = common.scratch_tables()[len(begun):]
+    assert len(made) == 1 and os.path.isdir(made[0])
+    result = corpus_pipeline.run(spark, SF_DIR)
+    made = common.scratch_tables()[len(begun) + 1 :]
+    assert len(made) == 1 and "stage-packing" in made[0] and result.count()
+    common.drop_scratch(spark, common.scratch_tables()[len(begun):])
+    assert common.scratch_tables() == begun and not os.path.exists(made[0])
+    assert dict(spark.conf.getAll) == before
+
+
 def test_components_of_paths_and_stars(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (None, 3)]
     roots = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
