@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.llm import packing, quality, simhash, suffixes
-from daygrid.llm.common import read_table, staged
+from daygrid.llm.common import read_table, scratch_tables, staged_in_place_of
 from daygrid.llm.queries import WORDS, tokenizer_path
 
 
@@ -53,8 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over all documents; each one's result is written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages over all documents; each one's result is written and read again, and what came
+    before it is deleted. The last one's stays until `common.drop_scratch`."""
+    docs, begun = read_table(spark, sf_dir, "documents"), len(scratch_tables())
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = staged_in_place_of(stage(spark, docs, sf_dir), f"stage-{name}", begun)
     return docs
