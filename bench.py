@@ -41,6 +41,7 @@ HEADLINE = [
     "compacted_cells",
     "final_grid",
     "csv_sessions",
+    "csv_rejects",
 ]
 
 

@@ -67,6 +67,17 @@ def rule_pattern(pattern_name: str | None) -> str:
     return re.sub("%+", "%", "%" + (pattern_name or "").replace("-", "").replace(" ", "%") + "%")
 
 
+def rule_pattern_of(pattern_name: Column) -> Column:
+    """`rule_pattern` for a column of rule names."""
+    words = F.regexp_replace(F.coalesce(pattern_name, F.lit("")), "-", "")
+    return F.regexp_replace(F.concat(F.lit("%"), F.replace(words, F.lit(" "), F.lit("%")), F.lit("%")), "%+", "%")
+
+
+def matches_pattern(description: Column, pattern: Column) -> Column:
+    """`matches_rule` for a column of LIKE patterns."""
+    return F.ilike(description, F.replace(pattern, F.lit("\\"), F.lit("\\\\")))
+
+
 def matches_rule(description: Column, pattern_name: str | None) -> Column:
     """Case-insensitive LIKE in which the backslash is an ordinary character."""
     return description.ilike(rule_pattern(pattern_name).replace("\\", "\\\\"))

@@ -15,6 +15,10 @@ TAG_FIND = r"-\[([^\]]+)\]"
 TAG_STRIP = r"-\[.*?\]"
 
 
+# Letters outside of ASCII that fold to ASCII ones.
+ASCII_FOLDS = frozenset("\u0130\u0131\u017f\u212a")
+
+
 class Abbreviation(NamedTuple):
     phrase: str
     abbrev: str | None
@@ -49,10 +53,26 @@ def abbreviate(text: Column, abbreviations: Sequence[Abbreviation]) -> Column:
     A text that doesn't hold the phrase in lower case stays, though letters that merely fold
     together, such as a long s and an s, would match. The steps are a chain of replacements
     with literal patterns: it grows by one step a phrase, and each pattern is compiled once.
+
+    One pass with all phrases as alternatives tells the texts that no step can change. Where
+    phrases are ASCII, only texts with one of the few other letters that fold to ASCII need the
+    steps that tell these apart; all others take plain ASCII patterns.
     """
-    for entry in active_abbreviations(abbreviations):
-        text = F.regexp_replace(text, *_step(entry.phrase, entry.abbrev))
-    return text
+    active = active_abbreviations(abbreviations)
+    if not active:
+        return text
+    careful = plain = text
+    for entry in active:
+        careful = F.regexp_replace(careful, *_step(entry.phrase, entry.abbrev))
+        plain = F.regexp_replace(plain, "(?i)" + _java_literal(entry.phrase), _java_replacement(entry.abbrev))
+    phrases = "|".join(_java_literal(entry.phrase) for entry in active)
+    ascii_only = all(entry.phrase.isascii() for entry in active)
+    if not ascii_only or any(ASCII_FOLDS.intersection(entry.abbrev) for entry in active):
+        return F.when(text.rlike(f"(?iu){phrases}"), careful).otherwise(text)
+    folds = text.rlike("[" + "".join(sorted(ASCII_FOLDS)) + "]")
+    return (
+        F.when(folds, careful).when(text.rlike(f"(?i){phrases}"), plain).otherwise(text)
+    )
 
 
 @lru_cache(maxsize=1)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.dates import sunday_week
 from daygrid.functions.labels import fill_template, matches_rule, timed_label
-from daygrid.operators.ranking import null_safe_join
 from daygrid.sources.dimensions import Rule
 
 ITEM_COLUMNS = (
@@ -65,22 +64,6 @@ def match_rules(sessions: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def match_rules_by_description(sessions: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """`match_rules` for long rule lists over few texts: matches each distinct description
-    once and joins the matches back, one row per description."""
-    matched = (
-        sessions.select("description")
-        .distinct()
-        .select("description", _matches(F.col("description"), rules).alias("_matches"))
-    )
-    return (
-        null_safe_join(sessions, matched, ["description"], "left")
-        .select("*", F.explode_outer("_matches").alias("_rule"))
-        .select("*", "_rule.template", "_rule.rule_order")
-        .drop("_matches", "_rule")
-    )
-
-
 def label_items(matched: DataFrame) -> DataFrame:
     """Item columns of matched sessions: banners (mapped) have no start time."""
     mapped = F.col("template").isNotNull()

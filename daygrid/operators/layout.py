@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 from daygrid.functions.dates import is_workday, iso_weekday, month_week
 from daygrid.functions.text import cell_role, tag_argb, untag
 from daygrid.operators.months import WORKDAYS
-from daygrid.operators.ranking import BLOCK_ROWS, block_of, row_numbers
+from daygrid.operators.ranking import (
+    block_of,
+    cut_points,
+    hot_pieces,
+    row_numbers,
+    with_share,
+)
 from daygrid.operators.slots import TIMED_ROW_NUM, WEEK_KEYS
-from daygrid.operators.weekrows import row_runs
+from daygrid.operators.weekrows import with_runs
 
 DAY_KEYS = ("calendar_id", "session_date")
 BLOCK_KEYS = ("calendar_id", "year", "month", "week")
 ROW_KEYS = (*BLOCK_KEYS, "pos")
 # Fields of a cell, and the suffix of their columns in a grid row.
 CELL_PARTS = (("text", ""), ("argb", "_argb"), ("role", "_role"), ("span", "_span"))
+TIMED_PIECE = (*DAY_KEYS, "display_order", "start_time")
 TIMED_ORDER = ("display_order", "start_time", "description", "color", "officer_code")
 
 
@@ -29,10 +36,26 @@ def on_workdays(dated: DataFrame) -> DataFrame:
     )
 
 
-def timed_positions(timed: DataFrame) -> DataFrame:
-    """Adds ``timed_pos``, the place of a timed item among those of its day."""
-    pieces = [F.col("display_order"), F.col("start_time")]
-    return row_numbers(timed, {"timed_pos": DAY_KEYS}, TIMED_ORDER, pieces)
+def timed_cuts(timed: DataFrame, parts: int) -> DataFrame | None:
+    """Where to divide the items of one day, order and start time that are more than one of
+    ``parts`` of all; nothing if there are none. Fewer than ``parts`` rows reach the driver."""
+    hot = hot_pieces(timed, TIMED_PIECE, parts)
+    found = hot.collect()
+    if not found:
+        return None
+    few = timed.sparkSession.createDataFrame(found, hot.schema)
+    return cut_points(timed, few, TIMED_PIECE, TIMED_ORDER, parts)
+
+
+def timed_positions(timed: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
+    """Adds ``timed_pos``, the place of a timed item among those of its day. ``cuts`` are a table
+    of `timed_cuts`: both branches of the numbering must see the same ones."""
+    pieces = ["display_order", "start_time"]
+    if cuts is None:
+        return row_numbers(timed, {"timed_pos": DAY_KEYS}, TIMED_ORDER, pieces)
+    shared = with_share(timed, cuts, TIMED_PIECE, TIMED_ORDER)
+    numbered = row_numbers(shared, {"timed_pos": DAY_KEYS}, TIMED_ORDER, [*pieces, "share"])
+    return numbered.drop("share")
 
 
 def day_positions(aligned: DataFrame, timed: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -83,27 +106,19 @@ def mark_spans(cells: DataFrame) -> DataFrame:
 
     The cells of a row, five at most, meet in one aggregation and runs are found within it.
     """
-    others = [c for c in cells.columns if c not in (*ROW_KEYS, "dow")]
+    own = [c for c in cells.columns if c not in (*ROW_KEYS, "dow")]
     days = range(1, len(WORKDAYS) + 1)
-    rows = cells.groupBy(*ROW_KEYS).agg(
-        *[F.max(F.when(F.col("dow") == k, F.struct(*others))).alias(f"day_{k}") for k in days]
+    dealt = cells.select(*ROW_KEYS, "dow", F.struct(*own).alias("cell"))
+    held = ", ".join(f"max(if(dow = {k}, cell, null))" for k in days)
+    rows = dealt.groupBy(*ROW_KEYS).agg(F.expr(f"array({held})").alias("held"))
+    cells_of = "transform(held, h -> named_struct('side', 0, 'tagged', h.tagged))"
+    marked = with_runs(rows.withColumn("cells", F.expr(cells_of))).selectExpr(
+        *ROW_KEYS, "begins", "lengths", "posexplode(held) AS (day, cell)"
     )
-    marked = []
-    for k, (first, last) in zip(days, row_runs([F.col(f"day_{k}.tagged") for k in days])):
-        spanned, cell = last > first, F.col(f"day_{k}")
-        marked.append(
-            F.struct(
-                F.lit(k).alias("dow"),
-                cell.alias("cell"),
-                F.when(spanned, first).cast("int").alias("span_first"),
-                F.when(spanned, last - first + 1).cast("int").alias("span_days"),
-            )
-        )
-    found = rows.select(*ROW_KEYS, F.inline(F.array(*marked))).where(F.col("cell").isNotNull())
-    return found.select(
-        *[F.col(c) if c in (*ROW_KEYS, "dow") else F.col(f"cell.{c}").alias(c) for c in cells.columns],
-        "span_first",
-        "span_days",
+    return marked.where("cell IS NOT NULL").selectExpr(
+        *[c if c in ROW_KEYS else "day + 1 AS dow" if c == "dow" else f"cell.{c} AS {c}" for c in cells.columns],
+        "if(lengths[day] > 1, begins[day], null) AS span_first",
+        "if(lengths[day] > 1, lengths[day], null) AS span_days",
     )
 
 
@@ -142,28 +157,22 @@ def wide_rows(cells: DataFrame) -> DataFrame:
     Only the first cell of a span shows its text. At most five cells meet in a row. Cells are dealt
     by week and piece of positions, so rows are made and later numbered in the same place.
     """
-    shown = F.col("span_days").isNull() | (F.col("dow") == F.col("span_first"))
-    cell = F.struct(
-        F.when(shown, F.col("text")).alias("text"),
-        F.when(shown, F.col("argb")).alias("argb"),
-        F.when(shown, F.col("role")).alias("role"),
-        F.when(shown, F.coalesce("span_days", F.lit(1))).alias("span"),
-    )
+    shown = "span_days IS NULL OR dow = span_first"
+    fields = {"text": "text", "argb": "argb", "role": "role", "span": "coalesce(span_days, 1)"}
+    cell = ", ".join(f"'{name}', if({shown}, {value}, null)" for name, value in fields.items())
     dealt = cells.select(
-        *BLOCK_KEYS, block_of("new_pos").alias("piece"), F.col("new_pos").alias("pos"), "dow", cell.alias("cell")
-    ).repartition(*BLOCK_KEYS, "piece")
+        *BLOCK_KEYS, block_of("new_pos").alias("piece"), F.col("new_pos").alias("pos"), "dow",
+        F.expr(f"named_struct({cell})").alias("cell"),
+    ).repartition(*BLOCK_KEYS, "piece")
     rows = dealt.groupBy(*BLOCK_KEYS, "piece", "pos").agg(
-        *[
-            F.max(F.when(F.col("dow") == number, F.col("cell"))).alias(name)
-            for number, name in enumerate(WORKDAYS, start=1)
-        ]
+        *[F.expr(f"max(if(dow = {n}, cell, null)) AS {name}") for n, name in enumerate(WORKDAYS, start=1)]
     )
-    return rows.select(
+    return rows.selectExpr(
         *BLOCK_KEYS,
         "piece",
         "pos",
-        F.lit("items").alias("kind"),
-        *[F.col(f"{name}.{part}").alias(f"{name}{suffix}") for name in WORKDAYS for part, suffix in CELL_PARTS],
+        "'items' AS kind",
+        *[f"{name}.{part} AS {name}{suffix}" for name in WORKDAYS for part, suffix in CELL_PARTS],
     )
 
 
@@ -181,27 +190,29 @@ def day_rows(day_grid: DataFrame) -> DataFrame:
     )
 
 
-def grid_rows(heads: DataFrame, cells: DataFrame) -> DataFrame:
+def numbered_in_pieces(rows: DataFrame) -> DataFrame:
+    """Adds ``place``, the number of a row within its piece; rows lie together by piece already."""
+    place = F.row_number().over(W.partitionBy(*BLOCK_KEYS, "piece").orderBy("pos"))
+    return rows.withColumn("place", place)
+
+
+def grid_rows(heads: DataFrame, placed: DataFrame) -> DataFrame:
     """Day-number rows and item rows with ``grid_row``, the number of a row within its month.
 
-    Rows that lost all their cells are gone. How many rows a piece of a week has is the count of
-    a bitmap of its positions, which combines before the shuffle; a row's number is that of its
-    piece's first row and its place in the piece.
+    Rows that lost all their cells are gone. A row's number is that of its piece's first row and
+    its place in the piece: ``placed`` rows are read twice, once for the sizes of pieces.
     """
-    occupied = F.bitmap_construct_agg((F.col("new_pos") % BLOCK_ROWS).cast("long"))
+    heading = F.lit(-1).cast("long").alias("piece"), F.lit(1).alias("n")
     counts = (
-        cells.groupBy(*BLOCK_KEYS, block_of("new_pos").alias("piece"))
-        .agg(F.bitmap_count(occupied).alias("n"))
-        .unionByName(heads.select(*BLOCK_KEYS, F.lit(-1).cast("long").alias("piece"), F.lit(1).cast("long").alias("n")))
+        placed.groupBy(*BLOCK_KEYS, "piece")
+        .agg(F.max("place").alias("n"))
+        .unionByName(heads.select(*BLOCK_KEYS, *heading))
     )
     month = W.partitionBy("calendar_id", "year", "month").orderBy("week", "piece")
     above = F.coalesce(F.sum("n").over(month.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select(*BLOCK_KEYS, "piece", above.alias("above"))
-    place = F.row_number().over(W.partitionBy(*BLOCK_KEYS, "piece").orderBy("pos"))
     body = (
-        wide_rows(cells)
-        .withColumn("place", place)
-        .join(starts, [*BLOCK_KEYS, "piece"])
+        placed.join(starts, [*BLOCK_KEYS, "piece"])
         .withColumn("grid_row", (F.col("above") + F.col("place")).cast("int"))
         .drop("piece", "pos", "place", "above")
     )

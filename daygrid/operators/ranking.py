@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Positions in a piece of a group that has dense positions; a piece's bitmap holds 32,768.
-BLOCK_ROWS = 32_768
+# Positions in a piece of a group that has dense positions.
+BLOCK_ROWS = 65_536
+# Rows drawn to divide a hot piece, for each share of it.
+SAMPLE_ROWS = 50
 
 
 def ascending(columns: Sequence[str]) -> list[Column]:
@@ -27,66 +28,109 @@ def block_of(position: str) -> Column:
     return F.floor(F.col(position) / BLOCK_ROWS)
 
 
+def sort_key(order: Sequence[str]) -> Column:
+    """A struct that compares as rows sort by ``order``, nulls last."""
+    return F.struct(
+        *[part for c in order for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))]
+    )
+
+
+def hot_pieces(frame: DataFrame, piece: Sequence[str], parts: int) -> DataFrame:
+    """Pieces that hold more than their share, one of ``parts``, of all rows, with ``shares``, how
+    many they hold; fewer than ``parts`` pieces."""
+    counts = frame.groupBy(*piece).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    shares = F.ceil(F.col("n") * parts / total).cast("int").alias("shares")
+    return counts.where(F.col("n") * parts > total).select(*piece, shares)
+
+
+def cut_points(
+    frame: DataFrame, hot: DataFrame, piece: Sequence[str], order: Sequence[str], parts: int
+) -> DataFrame:
+    """Where to divide the ``hot`` pieces: one row each with ``cuts``, sort keys of ``order`` drawn
+    from a sample of some SAMPLE_ROWS rows a share, so that about a share lies between two of
+    them. A sample decides about balance only; whatever it holds, rows keep their numbers.
+    """
+    total = frame.agg(F.count("*")).scalar()
+    drawn = frame.where(F.rand(7) * total < SAMPLE_ROWS * parts)
+    keys = drawn.select(*piece, sort_key(order).alias("key"))
+    sampled = (
+        null_safe_join(keys, hot, piece)
+        .groupBy(*piece, "shares")
+        .agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    )
+    shares = F.least(F.col("shares"), F.size("keys"))
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.col("shares")),
+        lambda i: F.element_at("keys", ((i * F.size("keys")) / (F.col("shares") + 1)).cast("int") + 1),
+    )
+    return sampled.withColumn("shares", shares).select(*piece, cuts.alias("cuts"))
+
+
+def with_share(frame: DataFrame, cuts: DataFrame, piece: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds ``share``, the number of a row's piece's cuts that are not after the row."""
+    cut = null_safe_join(frame, cuts, piece, "left").withColumn("key", sort_key(order))
+    above = F.filter(F.col("cuts"), lambda c: c <= F.col("key"))
+    return cut.withColumn("share", F.coalesce(F.size(above), F.lit(0))).drop("cuts", "key")
+
+
 def running_state(
     frame: DataFrame,
     order: Sequence[str],
-    pieces: Sequence[Column],
-    sums: Mapping[str, tuple[Sequence[str], Column]],
-    tops: Mapping[str, tuple[str, Column]] | None = None,
+    pieces: Sequence[str],
+    sums: Mapping[str, tuple[Sequence[str], str]],
+    tops: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Adds running sums and what they were at the last row of a kind, in one pass.
 
     ``sums`` maps a name to (keys, number): the sum of the numbers up to a row, over the rows
     with its keys in ``order``, nulls last. ``tops`` maps a name to (sum, condition): the sum at the
     last row so far that meets the condition, null before the first one. Numbers are not negative,
-    so this is the greatest sum at such a row.
+    so this is the greatest sum at such a row. Numbers, conditions and pieces are SQL.
 
     ``pieces`` never decrease in this order, nulls last. Null keys are a group like others.
     """
     tops = tops or {}
     keys = list(dict.fromkeys(key for group, _ in sums.values() for key in group))
     parts = [f"part_{i}" for i in range(len(pieces))]
-    piece = F.struct(*keys, *[p.alias(name) for p, name in zip(pieces, parts)])
-    within = W.partitionBy("_piece").orderBy(*ascending(order))
-    through = within.rowsBetween(W.unboundedPreceding, 0)
-    split = frame.withColumn("_piece", piece)
-    local = split.withColumns({f"_{n}": F.sum(number).over(through) for n, (_, number) in sums.items()})
+    piece = ", ".join([*keys, *[f"{p} AS {name}" for p, name in zip(pieces, parts)]])
+    rising = ", ".join(f"{c} NULLS LAST" for c in order)
+    through = (
+        f"OVER (PARTITION BY _piece ORDER BY {rising} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+    local = frame.selectExpr("*", f"struct({piece}) AS _piece")
+    local = local.selectExpr("*", *[f"sum({number}) {through} AS _{n}" for n, (_, number) in sums.items()])
     if tops:
-        local = local.withColumns(
-            {f"_{n}": F.max(F.when(kind, F.col(f"_{total}"))).over(through) for n, (total, kind) in tops.items()}
-        )
-        states = local.groupBy("_piece").agg(
-            *[F.max(f"_{n}").alias(f"_{n}") for n in [*sums, *tops]]
+        local = local.selectExpr(
+            "*", *[f"max(if({kind}, _{total}, null)) {through} AS _{n}" for n, (total, kind) in tops.items()]
         )
-    else:
-        states = split.groupBy("_piece").agg(
-            *[F.sum(number).alias(f"_{n}") for n, (_, number) in sums.items()]
+    names = [*sums, *tops]
+    starts = local.groupBy("_piece").agg(*[F.expr(f"max(_{n}) AS _{n}") for n in names])
+
+    def earlier(group: Sequence[str]) -> str:
+        by = ", ".join(f"_piece.{key}" for key in group)
+        on = ", ".join(f"_piece.{name} NULLS LAST" for name in parts)
+        return f"OVER (PARTITION BY {by} ORDER BY {on} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+    # Fewer keys first: what is dealt by them needs no further exchange for more.
+    for group in sorted({tuple(group) for group, _ in sums.values()}, key=len):
+        own = [n for n, (keys_of, _) in sums.items() if tuple(keys_of) == group]
+        starts = starts.selectExpr(
+            "*", *[f"coalesce(sum(_{n}) {earlier(group)}, 0) AS _before_{n}" for n in own]
         )
-
-    def earlier(group: Sequence[str]):
-        window = W.partitionBy(*[f"_piece.{key}" for key in group])
-        ordered = window.orderBy(*ascending([f"_piece.{name}" for name in parts]))
-        return ordered.rowsBetween(W.unboundedPreceding, -1)
-
-    starts = states.withColumns(
-        {f"_before_{n}": F.coalesce(F.sum(f"_{n}").over(earlier(group)), F.lit(0)) for n, (group, _) in sums.items()}
-    )
     if tops:
-        starts = starts.withColumns(
-            {
-                f"_before_{n}": F.max(F.col(f"_before_{total}") + F.col(f"_{n}")).over(earlier(sums[total][0]))
+        starts = starts.selectExpr(
+            "*",
+            *[
+                f"max(_before_{total} + _{n}) {earlier(sums[total][0])} AS _before_{n}"
                 for n, (total, _) in tops.items()
-            }
+            ],
         )
-    names = [*sums, *tops]
     joined = local.join(starts.select("_piece", *[f"_before_{n}" for n in names]), "_piece")
-    return joined.select(
-        *frame.columns,
-        *[(F.col(f"_before_{n}") + F.col(f"_{n}")).alias(n) for n in sums],
-        *[
-            F.greatest(F.col(f"_before_{n}"), F.col(f"_before_{total}") + F.col(f"_{n}")).alias(n)
-            for n, (total, _) in tops.items()
-        ],
+    return joined.selectExpr(
+        *[f"`{c}`" for c in frame.columns],
+        *[f"_before_{n} + _{n} AS {n}" for n in sums],
+        *[f"greatest(_before_{n}, _before_{total} + _{n}) AS {n}" for n, (total, _) in tops.items()],
     )
 
 
@@ -94,11 +138,11 @@ def row_numbers(
     frame: DataFrame,
     numbers: Mapping[str, Sequence[str]],
     order: Sequence[str],
-    pieces: Sequence[Column],
+    pieces: Sequence[str],
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order nulls last)`` for each
     (name, keys) of ``numbers``; ``pieces`` as in `running_state`."""
-    numbered = running_state(frame, order, pieces, {n: (keys, F.lit(1)) for n, keys in numbers.items()})
+    numbered = running_state(frame, order, pieces, {n: (keys, "1") for n, keys in numbers.items()})
     return numbered.withColumns({n: F.col(n).cast("int") for n in numbers})
 
 

@@ -36,7 +36,7 @@ def week_slots(items: DataFrame) -> DataFrame:
         slots,
         {"slot_pos": WEEK_KEYS, "row_num": ("calendar_id", "year")},
         ["week", "display_order", "description"],
-        [F.col("week"), F.col("display_order"), F.left("description", F.lit(8))],
+        ["week", "display_order", "left(description, 8)"],
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,7 @@ class Calendar:
 
     The items are staged once, because banners and timed items are read apart. So are
     the week rows of the banners and the numbered timed items; a property that builds on one
-    of these writes it first, `prepare` writes all of them. `close`, or leaving a
+    of these writes it first, `prepare` writes all of them, the last two at once. `close`, or leaving a
     ``with`` block, deletes what this calendar staged.
     """
 
@@ -54,8 +55,11 @@ class Calendar:
 
     def prepare(self) -> Calendar:
         """Runs the jobs that the results build on."""
-        for name in self._STAGED:
-            getattr(self, name)
+        missing = [name for name in self._STAGED[1:] if name not in self.__dict__]
+        if missing:
+            _ = self.items  # written first, since both others read them
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(self.__getattribute__, missing))
         return self
 
     def close(self) -> None:
@@ -112,7 +116,10 @@ class Calendar:
     def timed(self) -> DataFrame:
         """Timed items of workdays with their place in the day."""
         timed = layout.on_workdays(slots.timed_items(self.items))
-        return self._stage(layout.timed_positions(timed), "timed")
+        parts = int(timed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cuts = layout.timed_cuts(timed, parts)
+        held = None if cuts is None else self._stage(cuts, "cuts")
+        return self._stage(layout.timed_positions(timed, held), "timed")
 
     @property
     def spine_bounds(self) -> DataFrame:
@@ -132,6 +139,7 @@ class Calendar:
 
     @property
     def day_positions(self) -> DataFrame:
+        self.prepare()
         return layout.day_positions(self.slot_aligned, self.timed, weekrows.week_sizes(self.week_rows))
 
     @property
@@ -151,6 +159,7 @@ class Calendar:
     @property
     def item_grid(self) -> DataFrame:
         """Tagged texts by week, position and weekday, blank slot rows included."""
+        self.prepare()
         banners = weekrows.banner_grid(self.week_rows, self.spine_bounds)
         timed = layout.item_grid(self._placed_timed("slots"))
         return banners.select(*timed.columns).unionByName(timed)
@@ -161,16 +170,15 @@ class Calendar:
         placed = self.worded(self.timed).join(
             weekrows.week_sizes(self.week_rows), [*slots.WEEK_KEYS], "left"
         )
-        side = weekrows.month_side(F.col("session_date"))
-        rows = F.col("slots") if sizes else F.when(side == 0, F.col("rows_0")).otherwise(F.col("rows_1"))
-        last = F.col("lasts")[F.col("dow") - 1]
-        return placed.select(
+        side = weekrows.SIDE.format(day="session_date", friday="date_add(session_date, 5 - dow)")
+        rows = "slots" if sizes else f"if({side} = 0, rows_0, rows_1)"
+        return placed.selectExpr(
             *layout.BLOCK_KEYS,
             "session_date",
             "dow",
-            (F.coalesce(rows, F.lit(0)) + F.col("timed_pos")).alias("pos"),
+            f"coalesce({rows}, 0) + timed_pos AS pos",
             "tagged",
-            (F.coalesce(last, F.lit(0)) + F.col("timed_pos")).alias("risen_pos"),
+            "coalesce(lasts[dow - 1], 0) + timed_pos AS risen_pos",
         )
 
     @property
@@ -187,6 +195,7 @@ class Calendar:
 
     @property
     def span_runs(self) -> DataFrame:
+        self.prepare()
         runs = layout.span_runs(weekrows.banner_cells(self.week_rows))
         return runs.unionByName(layout.span_runs(self.loose_cells))
 
@@ -197,6 +206,7 @@ class Calendar:
         Timed cells fill their day without gaps. So they follow its last banner, merged or
         moved, down to the first merged one among them; that one and all below it stay.
         """
+        self.prepare()
         nowhere = F.lit(None).cast("int")
         loose = self.loose_cells
         labelled = self.timed_cells.where(starts_with_digit(F.col("tagged")))
@@ -216,4 +226,5 @@ class Calendar:
     def final_grid(self) -> DataFrame:
         """Day-number rows and item rows of every month, numbered from its top."""
         heads = layout.day_rows(months.month_day_grid(self.years))
-        return layout.grid_rows(heads, self.compacted_cells)
+        rows = layout.numbered_in_pieces(layout.wide_rows(self.compacted_cells))
+        return layout.grid_rows(heads, self._stage(rows, "rows"))

@@ -21,6 +21,9 @@ SPECIAL_SCHEMA = (
 )
 
 
+RULE_SCHEMA = "pattern_name string, template string, display_order int"
+
+
 class Rule(NamedTuple):
     """Maps descriptions that match ``pattern_name`` to a banner text."""
 
@@ -54,6 +57,15 @@ def all_officers(presiding: DataFrame, others: DataFrame) -> DataFrame:
     return presiding.unionByName(others)
 
 
+def rules(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """Match rules as a table; `rules_of` has them as a list of the job's configuration."""
+    return _local_table(spark, rows, RULE_SCHEMA)
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RULE_SCHEMA).json(path)
+
+
 def specials(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     return _local_table(spark, rows, SPECIAL_SCHEMA)
 

@@ -23,13 +23,33 @@ CSV_SCHEMA = (
 )
 
 
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of an extract with their fields, ``line`` for those with other than six, and the
+    ``reason`` why a line is no session: its ``fields`` or its ``date``; null for sessions."""
+    lines = spark.read.option("columnPruning", "false").csv(
+        path,
+        schema=f"{CSV_SCHEMA}, line string",
+        header=False,
+        quote='"',
+        escape='"',
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord="line",
+    )
+    day = F.to_date(F.try_to_timestamp("session_date"))
+    return lines.withColumn("day", day).withColumn(
+        "reason",
+        F.when(F.col("line").isNotNull(), "fields").when(F.col("day").isNull(), "date"),
+    )
+
+
 def read_sessions_csv(spark: SparkSession, path: str, calendar_id: str | None = None) -> DataFrame:
     """Headerless quoted extract. It has no room code; without ``calendar_id`` the
-    calendar name of each line is its calendar. An empty field is null."""
-    lines = spark.read.csv(path, schema=CSV_SCHEMA, header=False, quote='"', escape='"')
+    calendar name of each line is its calendar. An empty field is null. Lines with missing or
+    further fields and those without a readable date are left out: `read_csv_rejects` has them."""
+    lines = _csv_lines(spark, path).where("reason is null")
     return lines.select(
         (F.lit(calendar_id) if calendar_id else F.col("calendar_name")).alias("calendar_id"),
-        F.to_date(F.to_timestamp("session_date")).alias("session_date"),
+        F.col("day").alias("session_date"),
         "start_time",
         "description",
         F.lit(None).cast("string").alias("room_code"),
@@ -37,6 +57,14 @@ def read_sessions_csv(spark: SparkSession, path: str, calendar_id: str | None =
     )
 
 
+def read_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, line, fields) of the lines that `read_sessions_csv` leaves out: the line as it is
+    where its number of fields is wrong, its fields where its date can't be read."""
+    lines = _csv_lines(spark, path).where("reason is not null")
+    names = [part.split()[0] for part in CSV_SCHEMA.split(", ")]
+    return lines.select("reason", "line", F.struct(*names).alias("fields"))
+
+
 def read_sessions_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(
         *[F.to_date(c).alias(c) if c == "session_date" else F.col(c) for c in SESSION_COLUMNS]

@@ -139,6 +139,22 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a headerless extract of the events, of which some are broken."""
+    kind = F.col("event_id") % 50
+    day = F.when(kind == 1, "").when(kind == 2, "tomorrow").otherwise(F.to_date("ts").cast("string"))
+    name = F.concat(F.lit('"'), F.col("event_type"), F.lit(', ""quoted"""'))
+    whole = F.concat_ws(",", day, F.lit("09:00"), name, F.lit("C1"), F.lit("N01"), F.lit("Officer"))
+    short, long = F.concat_ws(",", day, F.lit("09:00"), name), F.concat(whole, F.lit(",more,and more"))
+    return table(spark, sf_dir, "events").select(
+        F.when(kind == 3, short).when(kind == 4, long).otherwise(whole).alias("value")
+    )
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    return dimensions.rules(spark, RULES)
+
+
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     color = F.col("r_name")
     cases = F.lit(None).cast("string")

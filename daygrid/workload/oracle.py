@@ -383,6 +383,10 @@ ORACLE: dict[str, str] = {
     "final_grid": statement("SELECT * FROM sheet", "sheet"),
     "month_files_roundtrip": statement("SELECT * FROM sheet", "sheet"),
     "replaced_table_roundtrip": statement("SELECT * FROM slots", "slots"),
+    "csv_rejects": """
+        SELECT CASE WHEN event_id % 50 IN (3, 4) THEN 'fields' WHEN event_id % 50 IN (1, 2) THEN 'date'
+                    ELSE 'accepted' END AS reason, count(*) AS n_lines
+        FROM events GROUP BY reason""",
     "csv_sessions": statement(
         """SELECT calendar_id, session_date, nullif(start_time, '') AS start_time, description,
                   CAST(NULL AS VARCHAR) AS room_code, officer_code FROM sessions""",

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.dates import iso_weekday, sunday_week
 from daygrid.functions.text import abbreviate
-from daygrid.operators import checks, items, layout, months, wording
+from daygrid.operators import checks, items, layout, months, rulematch, wording
 from daygrid.operators.slots import in_order
 from daygrid.plans.staging import new_scratch_path
 from daygrid.sinks.tables import register, replace_table, write_months
 from daygrid.sources.dimensions import special_days as special_days_of
-from daygrid.sources.sessions import read_sessions_csv
+from daygrid.sources.sessions import read_csv_rejects, read_sessions_csv
 from daygrid.workload import adapter
 from daygrid.workload.adapter import calendar, table
 
@@ -39,7 +39,7 @@ def items_rule_match(spark, sf_dir):
 
 @query
 def items_rule_match_distinct(spark, sf_dir):
-    return items.match_rules_by_description(adapter.sessions(spark, sf_dir), adapter.RULES)
+    return rulematch.match_rule_table(adapter.sessions(spark, sf_dir), adapter.rules(spark))
 
 
 @query
@@ -182,6 +182,17 @@ def replaced_table_roundtrip(spark, sf_dir):
     return spark.sql("SELECT * FROM daygrid_replaced_view")
 
 
+@query
+def csv_rejects(spark, sf_dir):
+    """Lines of an extract by what becomes of them; some have too few or too many fields, some
+    no date or an unreadable one."""
+    path = new_scratch_path(spark, "broken")
+    adapter.extract_lines(spark, sf_dir).write.text(path)
+    rejects = read_csv_rejects(spark, path).select("reason")
+    accepted = read_sessions_csv(spark, path).select(F.lit("accepted").alias("reason"))
+    return accepted.unionByName(rejects).groupBy("reason").agg(F.count("*").alias("n_lines"))
+
+
 @query
 def csv_sessions(spark, sf_dir):
     """Round trip through a headerless extract in the shared scratch folder."""

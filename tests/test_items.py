@@ -1,8 +1,10 @@
 import datetime as dt
+import random
+import re
 
 from pyspark.sql import functions as F
 
-from daygrid.operators import checks, items, slots, weekrows, wording
+from daygrid.operators import checks, items, rulematch, slots, weekrows, wording
 from daygrid.sources import dimensions
 from daygrid.sources.dimensions import Rule
 
@@ -42,12 +44,37 @@ def test_both_ways_of_matching_agree(spark):
     rows = sessions(spark, ("09:00", "Jury Trial", "1", "A"), ("09:00", "jury", "1", "A"),
                     ("09:00", "other", "1", "A"), ("09:00", None, "1", "A"), ("08:00", "other", "1", "A"))
     direct = items.match_rules(rows, RULES)
-    distinct = items.match_rules_by_description(rows, RULES)
+    distinct = rulematch.match_rule_table(rows, dimensions.rules(spark, RULES))
     assert direct.exceptAll(distinct).count() == 0 and distinct.exceptAll(direct).count() == 0
     assert direct.count() == 6
     assert items.match_rules(rows, []).where(F.col("template").isNull()).count() == 5
 
 
+def test_long_rule_tables(spark):
+    """20,000 rules: overlapping, repeated, of one letter, of none, with wildcards of their own."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6)))
+    names = [" ".join(word() for _ in range(rng.randint(2, 4))) for _ in range(20_000)]
+    names += ["", None, "a", "É", "a_c", "b%d", "- -", "c\\d", "ab", "ab"]
+    rules = [Rule(name, f"T{k}", k % 9) for k, name in enumerate(names)]
+    texts = [" ".join(word().upper() for _ in range(rng.randint(0, 5))) for _ in range(150)]
+    texts += [None, "", "xa_c", "xabc", "b-d", "c\\d", "É"]
+    rows = sessions(spark, *[("09:00", text, "1", "A") for text in texts * 2])
+
+    def pattern(name):
+        words = (name or "").replace("-", "").replace(" ", "%").lower()
+        return re.compile(".*" + "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in words) + ".*", re.S)
+
+    patterns = [pattern(name) for name in names]
+    expected = []
+    for text in texts * 2:
+        hits = [k for k, p in enumerate(patterns) if text is not None and p.fullmatch(text.lower())]
+        expected += [(text, f"T{k}", k % 9) for k in hits] or [(text, None, None)]
+    found = rulematch.match_rule_table(rows, dimensions.rules(spark, rules))
+    got = found.select("description", "template", "rule_order").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
 def test_labels(spark):
     officers = dimensions.officers(spark, [("a", "A", "Red", 0)])
     rows = sessions(
