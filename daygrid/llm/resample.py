@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import per_row, staged
+from daygrid.llm.common import free_names, per_row, staged
 
 #: Buckets, the draw's share in percent, the fewest words of a drawn document, the noise's seed.
 BUCKETS = 10_000
@@ -207,7 +207,9 @@ def importance_ranks(
 
 
 def resampled(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The drawn rows of ``docs`` with all their columns."""
+    """The drawn rows of ``docs`` with all their columns; an id that comes several times is drawn
+    with all its rows, rows without an id are not."""
     ranks = importance_ranks(docs, target, id_col=id_col, **options)
-    drawn = ranks.where("rank is not null").select(F.col("doc_id").alias("__drawn")).distinct()
-    return docs.join(drawn, F.col(f"`{id_col}`").cast("long") == F.col("__drawn"), "left_semi")
+    (name,) = free_names(docs, "drawn")
+    drawn = ranks.where("rank is not null").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(drawn, F.col(f"`{id_col}`").cast("long") == F.col(name), "left_semi")

@@ -160,6 +160,8 @@ def test_drawn_documents_keep_their_columns(spark, hard):
     drawn = resample.resampled(hard, target)
     ids = {r.doc_id for r in resample.importance_ranks(hard, target).where("rank is not null").collect()}
     assert drawn.columns == hard.columns and {r.doc_id for r in drawn.collect()} == ids - {None}
+    named = resample.resampled(hard.withColumnRenamed("n", "drawn"), target)
+    assert named.columns[-1] == "drawn" and {r.doc_id for r in named.collect()} == ids - {None}
 
 
 def test_empty_tables(spark, empty, hard):
