@@ -228,3 +228,10 @@ class Calendar:
         heads = layout.day_rows(months.month_day_grid(self.years))
         rows = layout.numbered_in_pieces(layout.wide_rows(self.compacted_cells))
         return layout.grid_rows(heads, self._stage(rows, "rows"))
+
+    @property
+    def sheets(self) -> DataFrame:
+        """`final_grid` with the sheet name, title and subtitle of each row's month."""
+        month = ["calendar_id", "year", "month"]
+        titles = self.month_titles.select(*month, "sheet_name", "title", "subtitle")
+        return self.final_grid.join(titles, month)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.text import Abbreviation
 from daygrid.plans.calendar import Calendar
+from daygrid.plans.staging import drop_staged
 from daygrid.sources import dimensions
 from daygrid.sources.dimensions import Rule
 from daygrid.sources.files import read_table
@@ -205,8 +206,18 @@ def specials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge_rows.unionByName(order_specials(spark, sf_dir))
 
 
+_open: list[Calendar] = []
+
+
+def close_calendars(spark: SparkSession) -> None:
+    """Deletes what the registered queries staged; call it once their results are written."""
+    while _open:
+        _open.pop().close()
+    drop_staged(spark)
+
+
 def calendar(spark: SparkSession, sf_dir: str, **options) -> Calendar:
-    return Calendar(
+    made = Calendar(
         sessions(spark, sf_dir),
         officers(spark, sf_dir),
         RULES,
@@ -216,3 +227,5 @@ def calendar(spark: SparkSession, sf_dir: str, **options) -> Calendar:
         presiding=presiding(spark, sf_dir),
         **options,
     )
+    _open.append(made)
+    return made

@@ -382,6 +382,12 @@ ORACLE: dict[str, str] = {
     ),
     "final_grid": statement("SELECT * FROM sheet", "sheet"),
     "month_files_roundtrip": statement("SELECT * FROM sheet", "sheet"),
+    "month_sheets": statement(
+        """SELECT s.*, t.sheet_name, t.title, t.subtitle
+           FROM sheet s JOIN titles t USING (calendar_id, year, month)""",
+        "sheet",
+        "titles",
+    ),
     "replaced_table_roundtrip": statement("SELECT * FROM slots", "slots"),
     "csv_rejects": """
         SELECT CASE WHEN event_id % 50 IN (3, 4) THEN 'fields' WHEN event_id % 50 IN (1, 2) THEN 'date'

@@ -171,6 +171,15 @@ def month_files_roundtrip(spark, sf_dir):
     return spark.read.schema(grid.schema).parquet(path)
 
 
+@query
+def month_sheets(spark, sf_dir):
+    """Grid and titles of all months, written in one call and read from their folders."""
+    path = new_scratch_path(spark, "sheets")
+    sheets = calendar(spark, sf_dir).sheets
+    write_months(sheets, path)
+    return spark.read.schema(sheets.schema).parquet(path)
+
+
 @query
 def replaced_table_roundtrip(spark, sf_dir):
     """Week slots from a table that replaced one of another form, through a view."""

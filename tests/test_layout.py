@@ -98,6 +98,16 @@ def test_grid_equals_sequential_model(spark, monkeypatch, seed, times):
     assert rows_of(calendar.final_grid) == expected
 
 
+def test_a_crowded_time_is_divided(spark):
+    """Nearly all items have one day, order and time, so that cut points number them."""
+    sessions = random_sessions(9, ["0 AM"], calendars=("X",), days=2, n=90)
+    calendar = calendar_of(spark, sessions, random_specials(9))
+    items = [r.asDict() for r in calendar.items.collect()]
+    expected = sorted(grid(items, [(a.phrase, a.abbrev) for a in ABBREVIATIONS], PALETTE), key=str)
+    assert rows_of(calendar.final_grid) == expected
+    assert layout.timed_cuts(calendar.timed.drop("timed_pos"), 8) is not None
+
+
 def test_several_years_are_like_single_years(spark):
     sessions = random_sessions(8, GOOD_TIMES, start=dt.date(2023, 12, 20))
     specials = random_specials(8, start=dt.date(2023, 12, 20))

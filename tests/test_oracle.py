@@ -2,6 +2,7 @@ import pytest
 from compare import differences, duckdb_views
 
 import __spark_entry__ as entry_module
+from daygrid.workload.adapter import close_calendars
 from daygrid.workload.oracle import ORACLE
 from daygrid.workload.queries import REGISTRY
 
@@ -23,5 +24,15 @@ def test_query_equals_oracle(spark, oracle, name):
     assert differences(frame, oracle, entry_module.oracle_sql()[name]) == []
 
 
+def test_closing_deletes_what_queries_staged(spark, tmp_path, monkeypatch):
+    close_calendars(spark)
+    monkeypatch.setattr("daygrid.plans.staging.scratch_dir", lambda _: str(tmp_path))
+    for name in ("week_slots", "csv_rejects"):
+        REGISTRY[name](spark, SF_DIR).collect()
+    assert len(list((tmp_path / "daygrid").iterdir())) == 2
+    close_calendars(spark)
+    assert not list((tmp_path / "daygrid").iterdir())
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
