@@ -19,13 +19,14 @@ SAMPLE = 20_000
 #: Vectors for each cell, and the most cells; the centroids sent to tasks are bounded by it.
 PER_CELL = 4_000
 MOST_CELLS = 4_096
-#: A vector visits every cell whose border is within REACH of it, half the distance of two
-#: unit vectors that just link: of two that link across a border one is that near.
-REACH = float(np.sqrt(2 - 2 * THRESHOLD)) / 2 + 1e-9
-#: Rows of a side in one product.
-BLOCK = 2_048
-#: Vectors assigned at a time; each may become a row for every cell.
-ASSIGNED = 1_024
+#: The distance of two unit vectors that just link. Measured from the border of two cells, the
+#: margins of two vectors that link across it add up to that at most.
+REACH = float(np.sqrt(2 - 2 * THRESHOLD)) + 1e-9
+#: Rows and bytes of a block, at most on average: a side of one product.
+BLOCK = 8_192
+BLOCK_BYTES = 16 << 20
+#: Rows of the left side that are multiplied at a time.
+SLICE = 512
 ROUNDS = 8
 
 
@@ -66,134 +67,174 @@ def _fit_cells(classes: DataFrame) -> dict[int, np.ndarray]:
     return fitted
 
 
-def _assign(cells: dict[int, np.ndarray]):
-    """Rows (cid, n, v, width, home, cell, cells): one for each cell that a vector is in."""
+def _assign(cells: dict[int, np.ndarray], kind: str):
+    """Rows (cid, n, width, cell, v): the cell of every vector, its components as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = (b.iloc[at : at + ASSIGNED] for b in batches for at in range(0, len(b), ASSIGNED))
-        for piece in pieces:
-            for width, part in piece.groupby(piece["v"].map(len)):
-                x = _units(matrix(part["v"]))
+        for batch in batches:
+            for width, part in batch.groupby(batch["v"].map(len)):
+                raw = matrix(part["v"])
                 centroids = cells.get(int(width))
-                if centroids is None or not len(x):
-                    near = np.ones((len(x), 1), dtype=bool)
-                    home = np.zeros(len(x), dtype=np.int64)
-                else:
-                    cosines = x @ centroids.T
-                    home = cosines.argmax(axis=1)
-                    apart = centroids[home] @ centroids.T
-                    square = (centroids * centroids).sum(axis=1)
-                    apart = np.sqrt(np.maximum(square[home, None] + square - 2 * apart, 0))
-                    best = cosines.max(axis=1, keepdims=True)
-                    near = best - cosines <= REACH * apart + 1e-12
-                row, cell = np.nonzero(near)
-                lists = np.split(cell, np.cumsum(near.sum(axis=1))[:-1])
+                home = 0 if centroids is None else (_units(raw) @ centroids.T).argmax(axis=1)
                 yield pd.DataFrame(
                     {
-                        "cid": part["cid"].to_numpy()[row],
-                        "n": part["n"].to_numpy()[row],
-                        "v": [x[r] for r in row],
+                        "cid": part["cid"].to_numpy(),
+                        "n": part["n"].to_numpy(),
                         "width": int(width),
-                        "home": home[row],
-                        "cell": cell,
-                        "cells": [lists[r] for r in row],
+                        "cell": home,
+                        "v": [v.tobytes() for v in raw.astype(kind)],
                     }
                 )
 
     return run
 
 
+def _pack(part: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block as one row of bytes."""
+    return pd.DataFrame(
+        {
+            "width": part["width"].iloc[:1],
+            "cell": part["cell"].iloc[:1],
+            "block": part["block"].iloc[:1],
+            "cids": [part["cid"].to_numpy(np.int64).tobytes()],
+            "ns": [part["n"].to_numpy(np.int64).tobytes()],
+            "vs": [b"".join(part["v"])],
+        }
+    )
+
+
+def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, counts and vectors of a block."""
+    cids, ns = np.frombuffer(row.cids, np.int64), np.frombuffer(row.ns, np.int64)
+    kind = np.float32 if len(row.vs) == 4 * len(cids) * row.width else np.float64
+    return cids, ns, np.frombuffer(row.vs, kind).reshape(len(cids), row.width)
+
+
+def _send(cells: dict[int, np.ndarray]):
+    """A block for its own cell, whole, and for every other cell: there the vectors within REACH of
+    the border of the two cells, nearest to it first, with their margins ``ms``.
+
+    The margin is the component along the unit vector between the two centroids. Its amounts on
+    the two sides add up to no more than the distance of the two vectors.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for row in (row for batch in batches for row in batch.itertuples()):
+            cids, ns, raw = _unpack(row)
+            x = _units(raw.astype(np.float64))
+            centroids = cells.get(row.width)
+            for other in range(1 if centroids is None else len(centroids)):
+                if other == row.cell:
+                    margin, at = np.zeros(len(x)), np.arange(len(x))
+                else:
+                    across = centroids[row.cell] - centroids[other]
+                    length = np.linalg.norm(across)
+                    margin = x @ (across / length) if length > 1e-9 else np.zeros(len(x))
+                    at = np.argsort(margin, kind="stable")[: (margin <= REACH).sum()]
+                if len(at):
+                    yield pd.DataFrame(
+                        {
+                            "width": [row.width],
+                            "cell": [row.cell],
+                            "other": [other],
+                            "block": [row.block],
+                            "cids": [cids[at].tobytes()],
+                            "ns": [ns[at].tobytes()],
+                            "ms": [margin[at].tobytes()],
+                            "vs": [raw[at].tobytes()],
+                        }
+                    )
+
+    return run
+
+
+def _hits(x: np.ndarray, y: np.ndarray, mx: np.ndarray, my: np.ndarray, same: bool) -> np.ndarray:
+    """The 0/1 link matrix of raw rows. Products in single precision leave out what is below the
+    threshold by more than their rounding; cosines in double precision decide on the rest."""
+    x, y = _units(x.astype(np.float64)), _units(y.astype(np.float64))
+    low = np.float32(THRESHOLD - (x.shape[1] + 8) * 2.0**-23)
+    x_short, y_short = x.astype(np.float32), y.astype(np.float32)
+    hit = np.zeros((len(x), len(y)), dtype=bool)
+    for at in range(0, len(x), SLICE):
+        near = int(np.searchsorted(my, REACH - mx[at], side="right"))
+        maybe = x_short[at : at + SLICE] @ y_short[:near].T >= low
+        if same:
+            np.fill_diagonal(maybe[:, at:], False)
+        rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        if len(rows):
+            there = np.ix_(rows, columns)
+            cosines = x[at + rows] @ y[columns].T
+            hit[np.ix_(at + rows, columns)] = maybe[there] & (cosines >= THRESHOLD)
+    return hit
+
+
 def _spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For a 0/1 link matrix, the label (least row or column number) of every row and column."""
     rows, columns = hit.shape
-    of_row, of_column = np.arange(rows), np.full(columns, rows + columns)
     big = rows + columns
+    of_row, of_column = np.arange(rows), np.full(columns, big)
     while True:
-        new_column = np.where(hit, of_row[:, None], big).min(axis=0)
-        new_row = np.minimum(of_row, np.where(hit, new_column[None, :], big).min(axis=1))
-        if (new_row == of_row).all() and (new_column == of_column).all():
+        before = of_row.copy(), of_column.copy()
+        for at in range(0, rows, SLICE):
+            part, own = hit[at : at + SLICE], of_row[at : at + SLICE]
+            np.minimum(own, np.where(part, of_column, big).min(axis=1), out=own)
+            np.minimum(of_column, np.where(part, own[:, None], big).min(axis=0), out=of_column)
+        if (of_row == before[0]).all() and (of_column == before[1]).all():
             return of_row, of_column
-        of_row, of_column = new_row, new_column
 
 
 def _compare(part: pd.DataFrame) -> pd.DataFrame:
     """Links between the two sides of a task: counts by row, and edges that span them."""
-    left, right = part[part["side"] == 0], part[part["side"] == 1]
-    kind = int(part["kind"].iloc[0])
-    same = kind == 0
-    if same:
-        right = left
-    if left.empty or right.empty:
-        return pd.DataFrame({"cid": [], "links": [], "other": []}).astype("int64")
-    hit = matrix(left["v"]) @ matrix(right["v"]).T >= THRESHOLD
-    a, b = left["cid"].to_numpy(), right["cid"].to_numpy()
-    if same:
-        np.fill_diagonal(hit, False)
-    if kind == 2 and hit.any():
-        # A visitor met here may also be met in its own cell: the smaller of the two cells counts.
-        cell = int(part["cell"].iloc[0])
-        homes = right["home"].to_numpy()
-        for home in np.unique(homes[hit.any(axis=0)]):
-            if home < cell:
-                met = np.array([home in cells for cells in left["cells"]])
-                hit[np.ix_(met, homes == home)] = False
-    out = []
+    sides = {row.side: row for row in part.itertuples()}
+    same = part["low"].iloc[0] == part["high"].iloc[0] and part["i"].iloc[0] == part["j"].iloc[0]
+    none = pd.DataFrame({"cid": [], "links": [], "other": []}).astype("int64")
+    if len(sides) < 2 and not same:
+        return none
+    left, right = sides[0], sides[0 if same else 1]
+    (a, n_a, x), (b, n_b, y) = _unpack(left), _unpack(right)
+    hit = _hits(x, y, np.frombuffer(left.ms), np.frombuffer(right.ms), same)
     rows, columns = hit.any(axis=1), hit.any(axis=0)
-    if rows.any():
-        links = hit @ right["n"].to_numpy()
-        of_row, of_column = _spanning(hit)
-        out.append(pd.DataFrame({"cid": a[rows], "links": links[rows], "other": a[of_row[rows]]}))
-        back = np.zeros(len(b), dtype=np.int64) if same else left["n"].to_numpy() @ hit
-        out.append(
-            pd.DataFrame({"cid": b[columns], "links": back[columns], "other": a[of_column[columns]]})
-        )
-    if not out:
-        return pd.DataFrame({"cid": [], "links": [], "other": []}).astype("int64")
+    if not rows.any():
+        return none
+    hit, a, n_a, b, n_b = hit[np.ix_(rows, columns)], a[rows], n_a[rows], b[columns], n_b[columns]
+    links, back = np.zeros(len(a)), np.zeros(len(b))
+    for at in range(0, len(a), SLICE):
+        piece = hit[at : at + SLICE].astype(np.float64)
+        links[at : at + SLICE] = piece @ n_b
+        back += n_a[at : at + SLICE] @ piece
+    of_row, of_column = _spanning(hit)
+    out = [
+        pd.DataFrame({"cid": a, "links": links, "other": a[of_row]}),
+        pd.DataFrame({"cid": b, "links": 0 if same else back, "other": a[of_column]}),
+    ]
     return pd.concat(out).astype("int64")
 
 
-def _tasks(members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every row at its side of every pair of blocks that is compared.
-
-    Kinds: 0 a block of a cell with itself, 1 two blocks of its own vectors, 2 a block of its
-    own vectors with one of visitors.
-    """
-    rows = members.join(blocks, ["width", "cell"]).withColumn(
-        "own", F.col("home") == F.col("cell")
-    )
-    count = F.when(F.col("own"), F.col("home_blocks")).otherwise(F.col("guest_blocks"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), count).cast("int"))
-
-    def places(number, make):
-        return F.transform(F.sequence(F.lit(1), number.cast("int")), lambda i: make(i - 1))
+def _tasks(sent: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Every block at its side of every pair of blocks that is compared: of cells low and high,
+    the blocks i and j. A block that meets itself is there once."""
+    theirs = blocks.select("width", F.col("cell").alias("other"), "blocks")
+    cell, other, block = F.col("cell"), F.col("other"), F.col("block")
 
-    def place(kind, i, j, side):
+    def place(k):
         return F.struct(
-            kind.cast("int").alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"),
-            F.lit(side).alias("side"),
+            F.when(cell == other, F.least(block, k)).when(cell < other, block).otherwise(k).alias("i"),
+            F.when(cell == other, F.greatest(block, k)).when(cell < other, k).otherwise(block).alias("j"),
+            F.when(cell == other, k < block).otherwise(cell > other).cast("int").alias("side"),
         )
 
-    none = F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>")
-    block, home_blocks, guest_blocks = F.col("block"), F.col("home_blocks"), F.col("guest_blocks")
-    own = F.filter(
-        F.concat(
-            places(home_blocks, lambda j: place(F.when(j == block, 0).otherwise(1), block, j, 0)),
-            places(home_blocks, lambda i: place(F.lit(1), i, block, 1)),
-        ),
-        lambda p: F.when(p["side"] == 0, p["j"] >= block).otherwise(p["i"] < block),
-    )
-    with_guests = F.when(
-        guest_blocks > 0, places(guest_blocks, lambda j: place(F.lit(2), block, j, 0))
-    ).otherwise(none)
-    guest = F.when(
-        home_blocks > 0, places(home_blocks, lambda i: place(F.lit(2), i, block, 1))
-    ).otherwise(none)
-    at = F.when(F.col("own"), F.concat(own, with_guests)).otherwise(guest)
-    # Only what a product needs travels; the cells of a vector only to meet visitors.
-    return rows.select("width", "cell", "cid", "n", "v", "home", "cells", F.explode(at).alias("p")).select(
-        "width", "cell", "p.kind", "p.i", "p.j", "p.side", "cid", "n", "v", "home",
-        F.when((F.col("p.kind") == 2) & (F.col("p.side") == 0), F.col("cells")).alias("cells"),
-    )
+    places = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), place)
+    return sent.join(theirs, ["width", "other"]).select(
+        "width", F.least(cell, other).alias("low"), F.greatest(cell, other).alias("high"),
+        F.explode(places).alias("p"), "cids", "ns", "ms", "vs",
+    ).select("width", "low", "high", "p.i", "p.j", "p.side", "cids", "ns", "ms", "vs")
+
+
+def _dealt(frame: DataFrame, count: int, *keys: str):
+    """``frame`` grouped by ``keys`` in up to ``count`` tasks: their work is far more than their
+    bytes, by which adaptive execution would merge them."""
+    most = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(max(1, min(count, most)), *keys).groupBy(*keys)
 
 
 def near_duplicates(
@@ -203,12 +244,12 @@ def near_duplicates(
 
     Rows link at a cosine of THRESHOLD or more in double precision. Equal vectors are one
     class with a count, so copies are never expanded into pairs; every copy counts as a link.
-    A vector is compared within its own cell and with the visitors of it, and of two that
-    link one visits the other's cell, so no pair is missed. Vectors that
-    are null, zero or hold null or non-finite components, and vectors of unequal length, link
-    with nothing: no links, their own id as component, kept. Cells with many vectors are
-    compared in pairs of blocks, each a task of its own. A null vec_id stays null and is
-    never a component's id while another is there. An empty table gives no rows.
+    Vectors of a cell are compared with each other, and those of two cells where their margins
+    from the border allow a link, so no pair is missed. Vectors that are null, zero or hold null
+    or non-finite components, and vectors of unequal length, link with nothing: no links, their
+    own id as component, kept. Cells are compared in pairs of blocks, each a group of its own
+    whose two blocks travel as rows of bytes. A null vec_id stays null and is never a
+    component's id while another is there. An empty table gives no rows.
     """
     key = F.md5(F.col(vector_col).cast("array<double>").cast("string"))
     keyed = usable_rows(frame.withColumn("__v", F.col(vector_col)), id_col, "__v").withColumn(
@@ -221,21 +262,33 @@ def near_duplicates(
         "vector-classes",
     )
     cells = _fit_cells(classes)
+    # Components travel as wide as the column has them.
+    kind = "float32" if frame.select(vector_col).dtypes[0][1] == "array<float>" else "float64"
     members = staged(
         classes.select("cid", "n", "v").mapInPandas(
-            _assign(cells),
-            "cid long, n long, v array<double>, width int, home int, cell int, cells array<int>",
+            _assign(cells, kind), "cid long, n long, width int, cell int, v binary"
         ),
         "cell-members",
     )
-    is_home = (F.col("home") == F.col("cell")).cast("int")
-    blocks = members.groupBy("width", "cell").agg(
-        F.ceil(F.sum(is_home) / BLOCK).alias("home_blocks"),
-        F.ceil(F.sum(1 - is_home) / BLOCK).alias("guest_blocks"),
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("width")))))
+    sizes = members.groupBy("width", "cell").agg(F.count("*").alias("n"))
+    blocks = staged(
+        sizes.select("width", "cell", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "cell-blocks"
+    )
+    count = blocks.agg(F.sum("blocks")).first()[0] or 0
+    packed = _dealt(
+        members.join(blocks, ["width", "cell"]).withColumn(
+            "block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+        ),
+        count, "width", "cell", "block",
+    ).applyInPandas(_pack, "width int, cell int, block int, cids binary, ns binary, vs binary")
+    sent = packed.mapInPandas(
+        _send(cells),
+        "width int, cell int, other int, block int, cids binary, ns binary, ms binary, vs binary",
     )
-    tasks = _tasks(members, blocks)
+    tasks = _tasks(sent, blocks)
     found = staged(
-        tasks.groupBy("width", "cell", "kind", "i", "j").applyInPandas(
+        _dealt(tasks, count * (count + 1) // 2, "width", "low", "high", "i", "j").applyInPandas(
             _compare, "cid long, links long, other long"
         ),
         "vector-links",

@@ -231,6 +231,41 @@ def test_links_across_cells_are_found(spark, monkeypatch):
     assert found == {i: (int(linked[i].sum()) - 1, 0) for i in range(300)}
 
 
+def test_vectors_travel_in_blocks(spark, monkeypatch):
+    """Vectors that don't cluster: rows grow with the pairs of blocks, not with vectors times blocks."""
+    monkeypatch.setattr(vectordedup, "BLOCK", 100)
+    monkeypatch.setattr(vectordedup, "PER_CELL", 150)
+    made, tasks = [], vectordedup._tasks
+
+    def counted(*args):
+        made.append(tasks(*args))
+        return made[-1]
+
+    monkeypatch.setattr(vectordedup, "_tasks", counted)
+    x = np.random.default_rng(9).standard_normal((900, 24))
+    x[450:] = x[:450] + 0.05 * x[450:]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectordedup.near_duplicates(frame).collect()}
+    assert found == {i: (1, i % 450) for i in range(900)}
+    assert made[0].count() < 900
+
+
+def test_links_at_the_threshold(spark, monkeypatch):
+    """Cosines that single precision can't tell from the threshold, within and across cells."""
+    monkeypatch.setattr(vectordedup, "PER_CELL", 50)
+    rng = np.random.default_rng(11)
+    x, away = rng.standard_normal((2, 200, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosines = 0.9 + np.where(np.arange(200) % 2, 1e-10, -1e-10)
+    y = cosines[:, None] * x + np.sqrt(1 - cosines**2)[:, None] * away
+    rows = [(i, (v * 10.0 ** (i % 7)).tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectordedup.near_duplicates(frame).collect()}
+    assert found == {i: (i % 2, i % 200 if i % 2 else i) for i in range(400)}
+
+
 def test_neighbours_reach_recall(spark, vectors, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 300)
     monkeypatch.setattr(ann, "QUERIES", 20)
