@@ -169,18 +169,19 @@ def _hits(x: np.ndarray, y: np.ndarray, mx: np.ndarray, my: np.ndarray, same: bo
 
 
 def _spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For a 0/1 link matrix, the label (least row or column number) of every row and column."""
-    rows, columns = hit.shape
-    big = rows + columns
-    of_row, of_column = np.arange(rows), np.full(columns, big)
-    while True:
-        before = of_row.copy(), of_column.copy()
-        for at in range(0, rows, SLICE):
-            part, own = hit[at : at + SLICE], of_row[at : at + SLICE]
-            np.minimum(own, np.where(part, of_column, big).min(axis=1), out=own)
-            np.minimum(of_column, np.where(part, own[:, None], big).min(axis=0), out=of_column)
-        if (of_row == before[0]).all() and (of_column == before[1]).all():
-            return of_row, of_column
+    """For a 0/1 link matrix without empty columns, the label (least row number) of every row and
+    column. Rows and columns are looked at once each, however long a chain of links is."""
+    turned = np.ascontiguousarray(hit.T)
+    of_row, of_column = np.full(len(hit), -1), np.full(len(turned), -1)
+    for start in range(len(hit)):
+        if of_row[start] < 0:
+            of_row[start], reached = start, np.array([start])
+            while len(reached):
+                beside = np.flatnonzero(hit[reached].any(axis=0) & (of_column < 0))
+                of_column[beside] = start
+                reached = np.flatnonzero(turned[beside].any(axis=0) & (of_row < 0))
+                of_row[reached] = start
+    return of_row, of_column
 
 
 def _compare(part: pd.DataFrame) -> pd.DataFrame:

@@ -266,6 +266,13 @@ def test_links_at_the_threshold(spark, monkeypatch):
     assert found == {i: (i % 2, i % 200 if i % 2 else i) for i in range(400)}
 
 
+def test_labels_of_chains_and_groups():
+    chain = np.eye(4000, dtype=bool) | np.eye(4000, k=1, dtype=bool)
+    assert all((labels == 0).all() for labels in vectordedup._spanning(chain))
+    two = np.array([[0, 0, 1], [1, 1, 0], [0, 0, 1]], dtype=bool)
+    assert [labels.tolist() for labels in vectordedup._spanning(two)] == [[0, 1, 0], [1, 1, 0]]
+
+
 def test_neighbours_reach_recall(spark, vectors, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 300)
     monkeypatch.setattr(ann, "QUERIES", 20)
